@@ -34,6 +34,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
+LOWER_TABLE = _LOWER.tobytes()
 _BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
 
@@ -112,11 +113,11 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
-def words(texts: Texts, lower: bool) -> Spans:
-    """Words: runs of bytes other than space, tab, line feed, vertical tab, form feed, carriage return."""
+def words(texts: Texts, lower: bool, within: np.ndarray = ~_SPACE) -> Spans:
+    """Words: runs of bytes of within; by default all but space, tab, line feed, vertical tab, form feed, carriage return."""
     data = _LOWER[texts.data] if lower else texts.data
     solid = np.zeros(len(data) + 1, bool)
-    solid[:-1] = ~_SPACE[data]
+    solid[:-1] = within[data]
     begins, ends = solid.copy(), solid.copy()
     begins[1:] &= ~solid[:-1]
     inner = texts.bounds[1:-1]
