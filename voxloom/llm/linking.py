@@ -218,29 +218,35 @@ def may_link(pairs: DataFrame, classes: DataFrame, bound: Bound) -> DataFrame:
     return both.mapInArrow(test, "a long, b long")
 
 
-def across(members: DataFrame, labels: DataFrame, classes: DataFrame, bound: Bound) -> DataFrame:
+def across(members: DataFrame, labels: DataFrame, classes: DataFrame, bound: Bound, nearest: bool) -> DataFrame:
     """Pairs (a < b) of one group whose ends lie in different components and that their sketches don't rule out.
 
-    Of two such ends one at least is outside the component of the group's smallest record (a stray).
-    A group of more than BLOCK records is dealt out in blocks of strays by blocks of records.
+    Groups with the same smallest record, their lead, are compared as one, and a pair that meets under
+    several leads is given under the least. Of two such ends one at least is a stray, outside the
+    lead's component. A group of more than BLOCK records is dealt out in blocks of strays by blocks
+    of records. nearest: only the closest record of each other component for each stray, which
+    leaves no pair if and only if there is none.
     """
-    named = members.join(labels.select(F.col("id").alias("rid"), "component"), "rid", "left").select("sig", "rid", "n", F.coalesce("component", "rid").alias("component"))
-    lead = named.groupBy("sig").agg(F.min(F.struct("rid", "component"))["component"].alias("lead"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size")).where("c0 != c1")
-    mixed = named.drop("n").join(lead.select("sig", "lead", "size"), "sig").join(classes.select("rid", "n", "sketch"), "rid")
+    named = members.join(labels.select(F.col("id").alias("rid"), "component"), "rid", "left").select("sig", "rid", F.coalesce("component", "rid").alias("component"))
+    mixed = named.groupBy("sig").agg(F.min("rid").alias("lead"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
+    rows = storage.written(named.join(mixed.select("sig", "lead"), "sig").select("lead", "rid", "component").distinct(), "mixed")
+    size = rows.groupBy("lead").agg(F.count("*").alias("size"), F.max(F.when(F.col("rid") == F.col("lead"), F.col("component"))).alias("main"))
+    leads = rows.groupBy("rid").agg(F.collect_set("lead").alias("leads")).join(classes.select("rid", "n", "sketch"), "rid")
+    rows = rows.join(size, "lead").join(leads, "rid").withColumn("stray", F.col("component") != F.col("main"))
     blocks = F.ceil(F.col("size") / BLOCK)
     own = F.pmod(F.xxhash64("rid"), blocks).cast("long")
-    mixed = mixed.withColumn("stray", F.col("component") != F.col("lead"))
     deal = F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)
-    one = mixed.where(blocks <= 1).withColumns({"i": F.lit(0).cast("long"), "j": F.lit(0).cast("long"), "role": F.when(F.col("stray"), 3).otherwise(2)})
-    many = mixed.where(blocks > 1)
+    one = rows.where(blocks <= 1).withColumns({"i": F.lit(0).cast("long"), "j": F.lit(0).cast("long"), "role": F.when(F.col("stray"), 3).otherwise(2)})
+    many = rows.where(blocks > 1)
     left = many.where("stray").withColumns({"i": own, "j": F.explode(deal), "role": F.lit(1)})
     right = many.withColumns({"j": own, "i": F.explode(deal), "role": F.lit(2)})
-    columns = ["sig", "i", "j", "role", "rid", "component", "n", "sketch"]
+    columns = ["lead", "i", "j", "role", "rid", "component", "n", "sketch", "leads"]
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         rid, comp, n, role = (table.column(c).to_numpy() for c in ("rid", "component", "n", "role"))
-        a, b = [], []
+        lead, leads = table.column("lead")[0].as_py(), [set(x) for x in table.column("leads").to_pylist()]
+        found: list[tuple[int, np.ndarray, np.ndarray]] = []
         parts = _by_width(table.column("sketch").combine_chunks())
         for at, x in parts:
             lefts = np.flatnonzero(role[at] & 1)
@@ -252,14 +258,51 @@ def across(members: DataFrame, labels: DataFrame, classes: DataFrame, bound: Bou
                 w = min(x.shape[1], y.shape[1])
                 u, v = _fold(x[lefts], w), _fold(y[keep], w)
                 for k, i in enumerate(at[lefts]):
-                    hit = np.flatnonzero((np.bitwise_count(v ^ u[k]).sum(1) <= bound(n[to], np.full(len(to), n[i]))) & (comp[to] != comp[i]))
-                    a.append(np.full(len(hit), rid[i]))
-                    b.append(rid[to[hit]])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+                    far = np.bitwise_count(v ^ u[k]).sum(1)
+                    hit = np.flatnonzero((far <= bound(n[to], np.full(len(to), n[i]))) & (comp[to] != comp[i]))
+                    if len(hit):
+                        found.append((int(i), to[hit], far[hit]))
+        pairs: set[tuple[int, int]] = set()
+        for i, to, far in found:
+            if nearest:
+                order = np.lexsort((rid[to], far, comp[to]))
+                to = to[order]
+                to = to[np.concatenate([[True], comp[to[1:]] != comp[to[:-1]]])]
+                pairs.update((i, int(j)) for j in to)
+            else:
+                pairs.update((i, int(j)) for j in to if min(leads[i] & leads[j]) == lead)
+        pairs = {(min(rid[i], rid[j]), max(rid[i], rid[j])) for i, j in pairs}
+        return pa.table({"a": pa.array([int(x) for x, _ in pairs], pa.int64()), "b": pa.array([int(y) for _, y in pairs], pa.int64())})
 
     rows = one.select(columns).unionByName(left.select(columns)).unionByName(right.select(columns))
-    return rows.groupBy("sig", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return rows.groupBy("lead", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
+#: Links of a graph whose components one task finds; a larger graph takes the distributed rounds.
+SMALL_GRAPH = 250_000
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(id, component) of the ends of edges (a, b); component is the smallest id reachable."""
+    if edges.count() > SMALL_GRAPH:
+        return connected_components(edges, "a", "b")
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                a, b = top(a), top(b)
+                up[max(a, b)] = min(a, b)
+        ids = list(up)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([top(x) for x in ids], pa.int64())], ["id", "component"])
+
+    return storage.written(edges.select("a", "b").coalesce(1).mapInArrow(join, "id long, component long"), "labels")
 
 
 def resolve(met: DataFrame, classes: DataFrame, bound: Bound, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -273,8 +316,11 @@ def resolve(met: DataFrame, classes: DataFrame, bound: Bound, verify: Callable[[
     members = storage.written(allocate(members), "members")
     pairs = met.where(F.col("kind") == PAIR).select("a", "b").unionByName(stars(members)).distinct()
     edges = storage.written(verify(storage.written(may_link(pairs, classes, bound), "pairs")), "links")
-    labels = connected_components(edges, "a", "b")
-    more = storage.written(across(members, labels, classes, bound), "pairs")
-    if more.isEmpty():
-        return labels
-    return connected_components(edges.unionByName(storage.written(verify(more), "links")), "a", "b")
+    labels = components(edges)
+    for nearest in (True, False):  # the first round joins most components that belong together
+        more = storage.written(across(members, labels, classes, bound, nearest), "pairs")
+        if more.isEmpty():
+            break
+        edges = edges.unionByName(storage.written(verify(more), "links"))
+        labels = components(edges)
+    return labels
