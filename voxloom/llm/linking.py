@@ -224,8 +224,8 @@ def across(members: DataFrame, labels: DataFrame, classes: DataFrame, bound: Bou
     Groups with the same smallest record, their lead, are compared as one, and a pair that meets under
     several leads is given under the least. Of two such ends one at least is a stray, outside the
     lead's component. A group of more than BLOCK records is dealt out in blocks of strays by blocks
-    of records. nearest: only the closest record of each other component for each stray, which
-    leaves no pair if and only if there is none.
+    of records. nearest: only the closest record of another component for each stray, which leaves
+    no pair if and only if there is none.
     """
     named = members.join(labels.select(F.col("id").alias("rid"), "component"), "rid", "left").select("sig", "rid", F.coalesce("component", "rid").alias("component"))
     mixed = named.groupBy("sig").agg(F.min("rid").alias("lead"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
@@ -246,7 +246,7 @@ def across(members: DataFrame, labels: DataFrame, classes: DataFrame, bound: Bou
         table = table.combine_chunks()
         rid, comp, n, role = (table.column(c).to_numpy() for c in ("rid", "component", "n", "role"))
         lead, leads = table.column("lead")[0].as_py(), [set(x) for x in table.column("leads").to_pylist()]
-        found: list[tuple[int, np.ndarray, np.ndarray]] = []
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         parts = _by_width(table.column("sketch").combine_chunks())
         for at, x in parts:
             lefts = np.flatnonzero(role[at] & 1)
@@ -260,19 +260,16 @@ def across(members: DataFrame, labels: DataFrame, classes: DataFrame, bound: Bou
                 for k, i in enumerate(at[lefts]):
                     far = np.bitwise_count(v ^ u[k]).sum(1)
                     hit = np.flatnonzero((far <= bound(n[to], np.full(len(to), n[i]))) & (comp[to] != comp[i]))
-                    if len(hit):
-                        found.append((int(i), to[hit], far[hit]))
-        pairs: set[tuple[int, int]] = set()
-        for i, to, far in found:
-            if nearest:
-                order = np.lexsort((rid[to], far, comp[to]))
-                to = to[order]
-                to = to[np.concatenate([[True], comp[to[1:]] != comp[to[:-1]]])]
-                pairs.update((i, int(j)) for j in to)
-            else:
-                pairs.update((i, int(j)) for j in to if min(leads[i] & leads[j]) == lead)
-        pairs = {(min(rid[i], rid[j]), max(rid[i], rid[j])) for i, j in pairs}
-        return pa.table({"a": pa.array([int(x) for x, _ in pairs], pa.int64()), "b": pa.array([int(y) for _, y in pairs], pa.int64())})
+                    if not len(hit):
+                        continue
+                    near = to[hit]
+                    if nearest:  # of each width of sketches
+                        near = near[np.lexsort((rid[near], far[hit]))[:1]]
+                    else:
+                        near = near[[min(leads[i] & leads[j]) == lead for j in near]]
+                    a.append(np.minimum(rid[near], rid[i]))
+                    b.append(np.maximum(rid[near], rid[i]))
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     rows = one.select(columns).unionByName(left.select(columns)).unionByName(right.select(columns))
     return rows.groupBy("lead", "i", "j").applyInArrow(compare, "a long, b long").distinct()

@@ -27,6 +27,7 @@ from . import textkit as K
 
 UNIT = 576  # payloads are padded to a multiple of it; also the blocks in a row of a stored image
 INTERVAL = 72  # blocks between restart markers
+LARGE = 2 << 20  # bytes that one call takes
 MOST_ROWS = 8191  # rows of blocks in one image; a longer payload is several images end to end
 
 # The code lengths of the standard luminance DC table (ITU-T T.81, table K.3).
@@ -333,7 +334,7 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in K.Texts.of(batch.column(1)).chunks():
+            for part, texts in K.Texts.of(batch.column(1)).chunks(LARGE):
                 n = np.diff(texts.bounds)
                 units = np.maximum(1, -(-n // UNIT))
                 samples = np.full(int(units.sum()) * UNIT, 255, np.uint8)
@@ -361,7 +362,7 @@ def describe(stored: DataFrame) -> DataFrame:
             i = 0
             while i < len(media):
                 j, total = i, 0
-                while j < len(media) and (j == i or total + sizes[j] <= K.CHUNK):
+                while j < len(media) and (j == i or total + sizes[j] <= LARGE):
                     total, j = total + sizes[j], j + 1
                 rows, images, found = [], [], []
                 for x in media[i:j]:

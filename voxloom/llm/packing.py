@@ -16,6 +16,7 @@ from . import bpe
 from . import textkit as K
 
 MAX_TOKENS = 2048
+LARGE = 2 << 20  # bytes that one call encodes
 _PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -62,7 +63,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str | None, max_to
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = bpe.encoder(path or bpe.default_path())
         for batch in batches:
-            for rows, texts in K.Texts.of(batch.column(1)).chunks():
+            for rows, texts in K.Texts.of(batch.column(1)).chunks(LARGE):
                 ids, first = tool.encode(texts)
                 out: list[tuple] = []
                 arrays = []

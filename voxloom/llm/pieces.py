@@ -26,6 +26,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 UNKNOWN_PENALTY = 10.0
 CACHE = 1_500_000
+LARGE = 2 << 20  # bytes that one call encodes
 _B, _SCATTER = np.uint64(0xD1B54A32D192ED03), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -233,7 +234,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = model(path or bpe.default_path("piece_bpe_32k.model"))
         for batch in batches:
-            for part, texts in K.Texts.of(batch.column(1)).chunks():
+            for part, texts in K.Texts.of(batch.column(1)).chunks(LARGE):
                 ids, first = tool.encode(texts)
                 back = tool.decode(ids, first)
                 own = ids.astype("<u4")

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one kernel call takes; a longer text makes a call of its own.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
