@@ -61,7 +61,7 @@ def nearest_anchor(voxels: DataFrame, clefts: DataFrame, resolution=(4, 4, 40),
     are gathered with it, bounded by the voxels of two segments of a chunk.
     """
     wanted = clefts.select("cleft_segid", F.explode(F.array(F.struct(F.lit("pre").alias("side"), F.col("presyn_segid").alias("segid")), F.struct(F.lit("post").alias("side"), F.col("postsyn_segid").alias("segid")))).alias("w")).select("cleft_segid", "w.side", "w.segid")
-    near = wanted.join(voxels, "segid").select("cleft_segid", "side", "x", "y", "z")
+    near = wanted.join(voxels, "segid").select(F.col("cleft_segid").alias("near_id"), "side", "x", "y", "z")
     scale = np.array(resolution, float)
 
     def place(key: tuple, cleft: pd.DataFrame, vox: pd.DataFrame) -> pd.DataFrame:
@@ -83,4 +83,4 @@ def nearest_anchor(voxels: DataFrame, clefts: DataFrame, resolution=(4, 4, 40),
         return pd.DataFrame(out, columns=["cleft_segid", "pre_x", "pre_y", "pre_z", "post_x", "post_y", "post_z"])
 
     schema = "cleft_segid long, pre_x long, pre_y long, pre_z long, post_x long, post_y long, post_z long"
-    return clefts.groupBy("cleft_segid").cogroup(near.groupBy("cleft_segid")).applyInPandas(place, schema)
+    return clefts.groupBy("cleft_segid").cogroup(near.groupBy("near_id")).applyInPandas(place, schema)

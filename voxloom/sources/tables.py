@@ -115,7 +115,10 @@ def agglomerate(voxels: DataFrame, maps: DataFrame, column: str, mips: int) -> D
     whole = None
     for m in range(mips + 1):
         own = maps.where(F.col("mip") == m).select("src_id", "dst_id")
-        whole = own if whole is None else idmaps.compose(whole, own)
+        if whole is None:
+            whole = own
+        else:  # ids that no earlier map has go through this one directly
+            whole = idmaps.compose(whole, own, reused_ids=True).unionByName(own.join(whole.select("src_id"), "src_id", "left_anti"))
     return idmaps.apply(voxels, whole, column)
 
 
