@@ -52,11 +52,14 @@ def tagged(voxels: DataFrame, chunk: tuple[int, int, int]) -> DataFrame:
 
 
 def chunk_components(voxels: DataFrame, s: Settings, base: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Per chunk: labelled voxels, face voxels, segment table. Segments that touch a face are kept at any size."""
+    """Per chunk: labelled voxels, face voxels, segment table. Segments that touch a face are kept at any size.
+
+    Labels are the components' plus one: 0 is no segment.
+    """
     mask = tagged(V.threshold(voxels, s.threshold), s.chunk)
-    labelled = V.components(mask, base=base, chunk=["chunk_tag"])
-    faces = V.faces(labelled.withColumn("label", F.col("label") + 1), "label", s.chunk).withColumn("segid", F.col("segid") - 1)
-    info = V.describe(labelled.withColumn("label", F.col("label") + 1), "label").withColumn("label", F.col("label") - 1)
+    labelled = V.components(mask, base=base, chunk=["chunk_tag"]).withColumn("label", F.col("label") + 1)
+    faces = V.faces(labelled, "label", s.chunk)
+    info = V.describe(labelled, "label")
     touching = faces.select(F.col("segid").alias("label")).distinct()
     small = info.where(F.col("size") < s.size_threshold).join(touching, "label", "left_anti").select("label")
     return labelled.join(small, "label", "left_anti"), faces, info.join(small, "label", "left_anti").withColumnRenamed("label", SEGMENT)
