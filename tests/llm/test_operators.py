@@ -332,6 +332,21 @@ def test_op6_is_the_brute_force_viterbi(spark):
     assert {x.doc_id: x.text for x in pieces.decode(coded).collect()} == {1: "hello there", 2: ""} and all(x.round_trip for x in coded.collect())
 
 
+def test_op6_gives_the_ids_of_sentencepiece(spark):
+    import sentencepiece
+
+    path, r = bpe.default_path("piece_bpe_32k.model"), random.Random(1)
+    tool = sentencepiece.SentencePieceProcessor(model_file=path)
+    some = ["the international community", "", " ", "  a", "a  ", "aaaaaaaaaaaa", "é漢\n\t.2 don't", "x" * 3000]
+    some += ["".join(r.choice("abcde thion  é漢\n\t.2") for _ in range(r.randint(0, 60))) for _ in range(300)]
+    some += [x.text for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect() if x.text]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(some)]
+    got = {x.doc_id: (x.n_tokens, x.ids_crc32, list(x.ids)) for x in pieces.encode(spark.createDataFrame(rows, DOCS)).collect()}
+    for i, t in enumerate(some):
+        ids = tool.encode(t)
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), ids), t[:80]
+
+
 def test_op1_finds_planted_licenses(spark):
     rows = [(1, "some prose\nReleased under the MIT license!\nmore", "en", "s", 0), (2, "plain prose of nothing", "en", "s", 0), (3, licenses.TEMPLATES[1][1].replace("express", "expressed"), "en", "s", 0), (4, None, "en", "s", 0), (5, "", "en", "s", 0)]
     got = {r.doc_id: (r.license, r.line) for r in licenses.scan(spark.createDataFrame(rows, DOCS)).collect()}

@@ -1,13 +1,14 @@
-"""SentencePiece encoding and decoding by batched Viterbi in numpy.
+"""SentencePiece encoding and decoding: merges for BPE models, batched Viterbi in numpy for unigram models.
 
-The pieces and scores of a model file define the most probable segmentation of a text. No piece
-crosses from a word into the space before the next, so each distinct word is segmented once: words
-of equal length advance together, the hashes of their substrings probe the sorted piece keys, and
-vectorised maxima leave backpointers.
+No piece crosses from a word into the space before the next, so each distinct word is segmented
+once. In a BPE model scores are merge ranks: adjacent pieces are merged, best score first. In a
+unigram model they are log-probabilities: words of equal length advance together, the hashes of
+their substrings probe the sorted piece keys, and vectorised maxima leave backpointers.
 """
 
 from __future__ import annotations
 
+import heapq
 import struct
 import zlib
 from collections.abc import Iterator
@@ -23,7 +24,8 @@ from . import bpe
 from . import textkit as K
 
 MARK = "▁"
-NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
+NORMAL, UNKNOWN, USER, UNUSED, BYTE = 1, 2, 4, 5, 6
+UNIGRAM, BPE = 1, 2  # model types of a model file
 UNKNOWN_PENALTY = 10.0
 CACHE = 1_500_000
 LARGE = 2 << 20  # bytes that one call encodes
@@ -61,11 +63,13 @@ class Model:
 
     def __init__(self, path: str):
         self.pieces: list[tuple[str, float, int]] = []
-        self.prefix, collapse, charsmap = True, True, b""
+        self.prefix, collapse, charsmap, self.kind = True, True, b"", UNIGRAM
         for f, body in _fields(Path(path).read_bytes()):
             if f == 1:
                 own = dict(_fields(body))
                 self.pieces.append((own[1].decode(), struct.unpack("<f", own[2])[0], own.get(3, NORMAL)))
+            elif f == 2:
+                self.kind = dict(_fields(body)).get(3, UNIGRAM)
             elif f == 3:
                 own = dict(_fields(body))
                 charsmap, self.prefix, collapse = own.get(2, b""), bool(own.get(3, 1)), bool(own.get(4, 1))
@@ -211,6 +215,54 @@ class Model:
         return K.Texts(data, bounds)
 
 
+class Merges(Model):
+    """Pieces of a BPE model file, with segmentation by merges."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        if any(k in (USER, UNUSED) for _, _, k in self.pieces):
+            raise ValueError("BPE models with user-defined or unused pieces are not supported")
+        self.rank = {p: s for p, s, k in self.pieces if k == NORMAL}
+        self.id_of = {p: i for i, (p, _, k) in enumerate(self.pieces) if k == NORMAL}
+
+    def merge(self, word: str) -> list[str]:
+        """The characters after all merges of adjacent pieces into a piece: best score first, of equal scores the leftmost."""
+        part: list[str | None] = list(word)
+        after, before = list(range(1, len(part) + 1)), list(range(-1, len(part) - 1))
+        heap: list[tuple[float, int, str]] = []
+
+        def meet(i: int, j: int) -> None:
+            if i >= 0 and j < len(part) and (s := self.rank.get(both := part[i] + part[j])) is not None:
+                heapq.heappush(heap, (-s, i, both))
+
+        for i in range(len(part) - 1):
+            meet(i, i + 1)
+        while heap:
+            _, i, both = heapq.heappop(heap)
+            if part[i] is None or (j := after[i]) >= len(part) or part[i] + part[j] != both:
+                continue  # one of the two has gone into another piece
+            part[i], part[j], after[i] = both, None, after[j]
+            if after[i] < len(part):
+                before[after[i]] = i
+            meet(before[i], i)
+            meet(i, after[i])
+        return [p for p in part if p is not None]
+
+    def segment(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all words (spaces as MARK) end to end, and first[i]. What is no piece is given as bytes."""
+        got: list[int] = []
+        first = [0]
+        for word in words:
+            for p in self.merge(word):
+                i = self.id_of.get(p)
+                if i is None:
+                    got += [int(self.byte_ids[x]) for x in p.encode("utf-8", "replace")]
+                else:
+                    got.append(i)
+            first.append(len(got))
+        return np.array(got, np.int64), np.array(first, np.int64)
+
+
 def _gather(values: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarray:
     n = first[rows + 1] - first[rows]
     stop = np.cumsum(n)
@@ -219,9 +271,19 @@ def _gather(values: np.ndarray, first: np.ndarray, rows: np.ndarray) -> np.ndarr
 
 @lru_cache(maxsize=2)
 def model(path: str) -> Model:
+    """Viterbi over a file's pieces, whatever its type; see encoder."""
     return Model(path)
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Model:
+    """The segmentation that the file's model type names."""
+    tool = Model(path)
+    if tool.kind not in (UNIGRAM, BPE):
+        raise ValueError("only unigram and BPE models are supported")
+    return Merges(path) if tool.kind == BPE else tool
+
+
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, keep_ids: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_crc32 (little-endian unsigned 32-bit), round_trip (whether decoding gives the text back), and ids with keep_ids.
 
@@ -232,7 +294,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = model(path or bpe.default_path("piece_bpe_32k.model"))
+        tool = encoder(path or bpe.default_path("piece_bpe_32k.model"))
         for batch in batches:
             for part, texts in K.Texts.of(batch.column(1)).chunks(LARGE):
                 ids, first = tool.encode(texts)
@@ -253,7 +315,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = model(path or bpe.default_path("piece_bpe_32k.model"))
+        tool = encoder(path or bpe.default_path("piece_bpe_32k.model"))
         for batch in batches:
             lists = batch.column("ids").to_pylist()
             first = np.concatenate([[0], np.cumsum([len(x or ()) for x in lists])]).astype(np.int64)
