@@ -236,6 +236,13 @@ def test_op9_is_the_brute_force_line_dedup(spark, docs):
         assert kept.get(r.doc_id, "\n".join(left)) == "\n".join(left)
 
 
+def test_op9_removes_repeats_of_short_lines(spark):
+    rows = [(1, "Home\n\nfresh words one\nHOME", "en", "s", 0), (2, "read  more\n\nhome\nother", "en", "s", 0), (3, "Read more", "en", "s", 0)]
+    found = spark.createDataFrame(rows, DOCS)
+    assert {r.doc_id: list(r.removed) for r in lines.mark(found, shortest=1).collect()} == {1: [3], 2: [2], 3: [0]}
+    assert {r.doc_id: r.text for r in lines.dedup(found, shortest=1).collect()} == {1: "Home\n\nfresh words one", 2: "read  more\n\nother"}
+
+
 def test_op9_masks_cover_every_difference():
     r = random.Random(4)
     for n in (10, 10**6, 10**10):
