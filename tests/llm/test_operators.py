@@ -243,6 +243,32 @@ def test_op9_removes_repeats_of_short_lines(spark):
     assert {r.doc_id: r.text for r in lines.dedup(found, shortest=1).collect()} == {1: "Home\n\nfresh words one", 2: "read  more\n\nother"}
 
 
+def test_op9_finds_near_lines_by_edit_distance_alone(spark):
+    """Every pair within a tenth of edits that differs in at most an eighth of its words (one word under 16)."""
+    r = random.Random(8)
+    word = lambda k=None: "".join(r.choice("abcdefghié") for _ in range(k or r.randint(1, 9)))
+    texts = []
+    for i in range(150):
+        base = [word() for _ in range(4 + i % 80)]
+        for _ in range(2):
+            w = list(base)
+            for _ in range(r.randint(0, max(1, len(w) // 8))):
+                k = r.randrange(len(w))
+                w[k : k + 1] = r.choice(([word(len(w[k]))], [], [w[k], word(2)]))
+                if len(w) == len(base) + max(1, len(base) // 8):
+                    break
+            texts.append(" ".join(w))
+        texts.append(" ".join(base))
+    names = [norm(t) for t in texts]
+    near = lambda a, b: a // 3 == b // 3 and edit(names[a], names[b]) <= max(len(names[a]), len(names[b])) // 10
+    want = components(range(len(names)), near)
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    gone = {x.doc_id for x in lines.mark(spark.createDataFrame(rows, DOCS).repartition(3), shortest=1, near="edit").collect() if x.removed}
+    missed = {i for i in want if want[i] != i} - gone
+    assert gone <= {i for i in want if want[i] != i} and len(want) - len(set(want.values())) > 100
+    assert not missed
+
+
 def test_op9_masks_cover_every_difference():
     r = random.Random(4)
     for n in (10, 10**6, 10**10):
