@@ -13,7 +13,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, whole."""
+    """Documents that the quality rules keep, without their boilerplate lines."""
     return quality.keep(docs)
 
 

@@ -198,6 +198,15 @@ def test_op5_rejects_boilerplate_and_keeps_clean(spark):
     assert {x.doc_id for x in quality.keep(spark.createDataFrame(rows, DOCS)).collect()} == {i for i in got if got[i]}
 
 
+def test_op5_hands_on_kept_documents_without_boilerplate(spark):
+    rows = [(i, "Home | About\n" + " ".join(f"w{i}x{k}" for k in range(60)) + "\n\nlast  words\nhome |  about", "en", "h", 0) for i in range(30)]
+    rows += [(99, "Home | About\n" + " ".join(f"z{k}" for k in range(60)), "en", "other", 0)]
+    kept = {r.doc_id: r.text for r in quality.keep(spark.createDataFrame([*rows, rows[0]], DOCS)).collect()}
+    assert kept[99] == rows[-1][1] and len(kept) == 31
+    for i, text, *_ in [(r[0], r[1].replace("last  words", f"last  words {r[0]}")) for r in rows[:30]]:
+        assert "about" not in kept[i].lower() and kept[i].split("\n")[0] == text.split("\n")[1]
+
+
 def norm(line):
     return " ".join(WORD.findall(line.translate(LOWER)))
 

@@ -2,7 +2,7 @@
 
 Lines are normalised (A-Z lower-cased, words joined by one space) and hashed. A line found in more
 than a share of its host's distinct documents is boilerplate; a document that loses too much of its
-words with such lines is depleted and rejected.
+words with such lines is depleted and rejected; a kept one goes on without them.
 """
 
 from __future__ import annotations
@@ -78,7 +78,7 @@ def base_counts(texts: K.Texts) -> np.ndarray:
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """Each row's counts and verdict: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, boilerplate_words, text_key.
+    """Each row's counts and verdict: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, boilerplate_words, boilerplate_lines (their numbers), text_key, host.
 
     Null and empty texts have no words and fail. A null host is a host of its own. Documents of equal
     text count once for a line's frequency, so copies of a document don't make its lines
@@ -94,35 +94,38 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
         for batch in batches:
             for part, texts in K.Texts.of(batch.column("text")).chunks():
                 base = base_counts(texts)
-                owner, _, n, key = line_keys(texts)
+                owner, number, n, key = line_keys(texts)
                 first = np.searchsorted(owner, np.arange(len(texts) + 1)).astype(np.int32)
-                lines = pa.ListArray.from_arrays(pa.array(first), pa.StructArray.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64())], ["key", "n"]))
+                lines = pa.ListArray.from_arrays(pa.array(first), pa.StructArray.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64()), pa.array(number, pa.int32())], ["key", "n", "pos"]))
                 here = [batch.column(c).slice(part.start, len(texts)) for c in ("doc_id", "host", "text_key")]
                 yield pa.RecordBatch.from_arrays([pa.array(row_key + np.arange(len(texts))), *here, *(pa.array(x, pa.int64()) for x in base), lines], ["row_key", "doc_id", "host", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"])
                 row_key += len(texts)
 
-    measured = storage.written(rows.mapInArrow(measure, f"row_key long, doc_id {kind}, host string, text_key long, {_BASE}, lines array<struct<key: long, n: long>>"), "measured")
-    line = measured.select("row_key", "host", "text_key", F.explode("lines").alias("line")).select("row_key", "host", "text_key", F.col("line.key").alias("key"), F.col("line.n").alias("n"))
+    measured = storage.written(rows.mapInArrow(measure, f"row_key long, doc_id {kind}, host string, text_key long, {_BASE}, lines array<struct<key: long, n: long, pos: int>>"), "measured")
+    line = measured.select("row_key", "host", "text_key", F.explode("lines").alias("line")).select("row_key", "host", "text_key", F.col("line.key").alias("key"), F.col("line.n").alias("n"), F.col("line.pos").alias("pos"))
     limits = measured.select("host", "text_key").distinct().groupBy("host").agg(F.greatest(F.lit(LINE_LEAST), F.floor(F.count("*") * LINE_SHARE)).alias("limit"))
     found = line.select("host", "key", "text_key").distinct().groupBy("host", "key").agg(F.count("*").alias("documents")).where(F.col("documents") > LINE_LEAST)
     common = found.join(limits, "host").where("documents > limit").select("host", "key")
-    lost = line.join(common, ["host", "key"]).groupBy("row_key").agg(F.sum("n").alias("lost"))
-    out = measured.drop("lines").join(lost, "row_key", "left").withColumn("boilerplate_words", F.coalesce("lost", F.lit(0)))
+    lost = line.join(common, ["host", "key"]).groupBy("row_key").agg(F.sum("n").alias("lost"), F.sort_array(F.collect_list("pos")).alias("places"))
+    out = measured.drop("lines").join(lost, "row_key", "left").withColumn("boilerplate_words", F.coalesce("lost", F.lit(0))).withColumn("boilerplate_lines", F.coalesce("places", F.array().cast("array<int>")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     whole = F.col("n_words") - F.col("boilerplate_words") >= LEFT_SHARE * F.col("n_words")
     out = out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & whole)
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "boilerplate_words", "text_key")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "boilerplate_words", "boilerplate_lines", "text_key", "host")
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """The rows of docs that judge() keeps, with the columns of docs."""
-    bad = judge(docs, id_col, text_col, host_col).where("not kept").select(F.col("doc_id").alias("__id"), "text_key").distinct()
-    key = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    return docs.withColumn("__key", key).join(bad, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("text_key")), "left_anti").select(docs.columns)
+    """The rows of docs that judge() keeps, with the columns of docs; their text is without its boilerplate lines."""
+    good = judge(docs, id_col, text_col, host_col).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key"), F.col("host").alias("__host"), F.col("boilerplate_lines").alias("__lines")).dropDuplicates(["__id", "__text_key", "__host"])
+    text = F.col(text_col).cast("string")
+    on = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__text_key")) & (F.coalesce(F.col(host_col).cast("string"), F.lit("")) == F.col("__host"))
+    left = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("__lines", i)), "\n")
+    out = docs.join(good, on)
+    return out.select(*(F.when(F.size("__lines") == 0, text).otherwise(left).alias(c) if c == text_col else docs[c] for c in docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("boilerplate_words", "text_key")
+    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("boilerplate_words", "boilerplate_lines", "text_key", "host")
 
 
 ORACLE_SQL = f"""
