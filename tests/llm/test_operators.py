@@ -423,18 +423,73 @@ def test_op10_beats_word_counts_on_held_out_text(spark):
             w.append(r.choice(chain[w[-1]]))
         return " ".join(w)
 
-    net = lm.train(spark.createDataFrame([(i, text(20000), "en", "s", 0) for i in range(4)], DOCS).coalesce(1))
-    context, target, _ = lm.examples(K.Texts.of(pa.array([text(4000)])))
-    counts = np.bincount(target, minlength=lm.CLASSES) + 1e-9
-    assert net.log_probability(context, target).mean() > np.log(counts[target] / counts.sum()).mean()
-    got = {x.doc_id: x for x in lm.score(spark.createDataFrame([(1, "w0 w0 w1", "en", "s", 0), (2, None, "en", "s", 0)], DOCS), net).collect()}
-    assert got[1].n_tokens == 3 and got[1].log_prob < 0 and got[2].log_prob == 0 and got[2].mean_log_prob is None
+    some = spark.createDataFrame([(i, text(20000), "en", "s", 0) for i in range(4)], DOCS).coalesce(1)
+    names = lm.count_words(some)
+    context, target, *_ = lm.examples(K.Texts.of(pa.array([text(4000)])), names)
+    counts = np.log(names.total[target] / names.total.sum()).mean()
+    assert abs(lm.Network.fresh(names.total).log_probability(context, target).mean() - counts) < 0.5
+    assert lm.train(some, names).log_probability(context, target).mean() > counts + 0.5
+
+
+def test_op10_beats_word_counts_on_held_out_documents_in_any_layout(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    names = lm.count_words(docs)
+    held, known = docs.where("doc_id % 5 = 0"), docs.where("doc_id % 5 != 0")
+    context, target, *_ = lm.examples(K.Texts.of(pa.array([x.text for x in held.collect()])), names)
+    mean = lambda net: np.concatenate([net.log_probability(context[i : i + 9999], target[i : i + 9999]) for i in range(0, len(target), 9999)]).mean()
+    counts, got = mean(lm.Network.fresh(names.total)), [mean(lm.train(known.repartition(n), names)) for n in (1, 6)]
+    assert min(got) > counts + 0.1 and abs(got[0] - got[1]) < 0.15, (counts, got)
+
+
+@pytest.mark.parametrize("known, crowd", [(lm.KNOWN, lm.CROWD), (300, 2)])
+def test_op10_is_the_brute_force_sum(spark, docs, known, crowd):
+    """Words beyond the known ones and crowded contexts take other ways to the same score."""
+    names = lm.count_words(docs, known=known, heads=100, least=2)
+    net = lm.train(docs, names, rounds=1)
+    got = [(x.doc_id, x.n_tokens, x.log_prob) for x in lm.score(docs, names, net, crowd_of=crowd).collect()]
+    rows = [(x.doc_id, WORD.findall((x.text or "").translate(LOWER)), x.text) for x in docs.collect()]
+    count, total, pair, context = {}, {}, {}, {}
+    seen = []
+    for doc, words, text in rows:
+        rows_, target, *_ = lm.examples(K.Texts.of(pa.array([text], pa.string())), names)
+        p, rare = net.log_probabilities(rows_, target) if words else ([], [])
+        seen.append((doc, words, target, p, rare))
+        for i, w in enumerate(words):
+            count[w], total[target[i]] = count.get(w, 0) + 1, total.get(target[i], 0) + 1
+            if target[i] >= lm.HEADS:
+                c = (words[i - 1] if i else None, words[i + 1] if i + 1 < len(words) else None)
+                context[c], pair[c, w] = context.get(c, 0) + 1, pair.get((c, w), 0) + 1
+    want = []
+    for doc, words, target, p, rare in seen:
+        s = 0.0
+        for i, w in enumerate(words):
+            if target[i] < lm.HEADS:
+                s += p[i]
+                continue
+            c = (words[i - 1] if i else None, words[i + 1] if i + 1 < len(words) else None)
+            prior = np.exp(p[i] - rare[i]) * count[w] / total[target[i]]
+            s += rare[i] + np.log((pair[c, w] - 1 + lm.PRIOR * prior) / (context[c] - 1 + lm.PRIOR))
+        want.append((doc, len(words), s))
+    key = lambda x: (str(x[0]), x[1], x[2])
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) <= 1e-3 * max(1, a[1])
+
+
+def test_op10_scores_repeated_documents_apart(spark):
+    r = random.Random(6)
+    word = [f"w{r.randrange(30000)}" if r.random() < 0.5 else f"f{r.randrange(30)}" for _ in range(40000)]
+    texts = [" ".join(word[i : i + 100]) for i in range(0, 40000, 100)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate([*texts, *texts[:40]])] + [(None, None, "en", "s", 0)]
+    got = {x.doc_id: x.mean_log_prob for x in lm.fit_and_score(spark.createDataFrame(rows, DOCS)).collect()}
+    once, twice = [got[i] for i in range(40, 400)], [got[i] for i in (*range(40), *range(400, 440))]
+    assert got[None] is None and np.quantile(twice, 0.1) > np.quantile(once, 0.9)
 
 
 def test_op10_probabilities_sum_to_one():
     net = lm.Network.of(lm.Network.fresh().flat() * 3)
-    context = np.repeat(np.arange(4)[None] * (lm.CLASSES + 1), lm.CLASSES, axis=0)
-    assert abs(np.exp(net.log_probability(context, np.arange(lm.CLASSES))).sum() - 1) < 1e-4
+    sides = np.repeat(np.arange(2 * lm.WINDOW)[None] * (lm.CLASSES + 1), lm.CLASSES, axis=0)
+    p, rare = net.log_probabilities(sides, np.arange(lm.CLASSES))
+    assert abs(np.exp(p).sum() - 1) < 1e-4 and abs(np.exp(p[lm.HEADS :]).sum() - np.exp(rare[0])) < 1e-4
 
 
 @pytest.mark.parametrize("run", [setjoin.link, setjoin.keep_one, packing.pack, quality.judge, quality.keep, lines.mark, lines.dedup, sharding.shard, licenses.scan, pieces.encode, lm.fit_and_score, lambda d: media.describe(media.store(d))])

@@ -122,6 +122,7 @@ class Encoder:
     def _clear(self) -> None:
         self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.first, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.bytes_first, self.bytes = np.zeros(1, np.int64), np.zeros(0, np.uint8)
 
     def _whole(self, text: bytes) -> np.ndarray:
         return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
@@ -134,6 +135,8 @@ class Encoder:
         rows = np.arange(len(ids)) + len(self.first) - 1
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in ids])])
         self.ids = np.concatenate([self.ids, np.array([i for x in ids for i in x], np.uint32)])
+        self.bytes_first = np.concatenate([self.bytes_first, self.bytes_first[-1] + np.cumsum([len(w) for w in words])])
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(words), np.uint8)])
         where = np.searchsorted(self.keys, keys)
         self.keys, self.rows = np.insert(self.keys, where, keys), np.insert(self.rows, where, rows)
 
@@ -144,17 +147,24 @@ class Encoder:
         angle = texts.data == SPECIAL[0]
         for i in np.unique(np.searchsorted(texts.bounds, np.flatnonzero(angle), "right") - 1):
             odd[i] |= SPECIAL in texts.text(i)
-        if odd.any():
-            parts = [self._whole(texts.text(i)) if odd[i] else self._plain(K.Texts(texts.data[texts.bounds[i] : texts.bounds[i + 1]], texts.bounds[i : i + 2] - texts.bounds[i]))[0] for i in range(len(texts))]
-            return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        return self._plain(texts)
-
-    def _plain(self, texts: K.Texts) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.flatnonzero(~odd)
+        size = np.diff(texts.bounds)[plain]
+        part = texts if len(plain) == len(texts) else K.Texts(texts.data[np.repeat(~odd, np.diff(texts.bounds))], np.concatenate([[0], np.cumsum(size)]))
+        ids, first, wrong = self._plain(part)
+        odd[plain[wrong]] = True
+        if not odd.any():
+            return ids, first
+        own = dict(zip(plain.tolist(), range(len(plain)), strict=True))
+        parts = [self._whole(texts.text(i)) if odd[i] else ids[first[own[i]] : first[own[i] + 1]] for i in range(len(texts))]
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+    def _plain(self, texts: K.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, first[i], and the texts in which a pre-token's bytes are not those its hash stands for."""
         start = pre_tokens(texts)
         if not len(start):
-            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
+            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.int64)
         end = np.append(start[1:], len(texts.data))
-        keys, example, inverse = np.unique(K.span_hash(K.prefix_hash(texts.data), start, end), return_index=True, return_inverse=True)
+        keys, example, inverse = np.unique(K.span_hash(texts.data, start, end), return_index=True, return_inverse=True)
         if len(self.keys) + len(keys) > CACHE:
             self._clear()
         at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
@@ -167,7 +177,10 @@ class Encoder:
         n = self.first[row + 1] - self.first[row]
         stop = np.cumsum(n)
         ids = self.ids[np.repeat(self.first[row] - (stop - n), n) + np.arange(stop[-1])]
-        return ids, np.concatenate([[0], stop])[np.searchsorted(start, texts.bounds)]
+        size = self.bytes_first[row + 1] - self.bytes_first[row]
+        bad = np.flatnonzero((size != end - start) | ~K.same(texts.data, start, np.minimum(size, end - start), self.bytes, self.bytes_first[row]))
+        wrong = np.unique(np.searchsorted(texts.bounds, start[bad], "right") - 1)
+        return ids, np.concatenate([[0], stop])[np.searchsorted(start, texts.bounds)], wrong
 
 
 @lru_cache(maxsize=2)

@@ -1,10 +1,21 @@
 """Masked pseudo-likelihood: a bidirectional window network, trained in numpy, predicts every token from both sides.
 
-Words (A-Z lower-cased) are hashed to CLASSES ids of two digits. The hidden layer is the tanh of the
-summed embeddings of the WINDOW words on each side; it predicts the first digit, and with it the
-second. Every partition trains on all its documents from the same start; the weights are averaged
-by tokens (one round of parameter mixing), so that what is gathered grows with the corpus and what
-the driver holds is one network. The sum of log-probabilities of all words scores a document.
+Words (A-Z lower-cased) of the whole corpus are counted. The HEADS most frequent (of LEAST occurrences) are classes of
+their own; every other word, a rare one, belongs to one of SUFFIXES classes by its last three bytes.
+The network takes the classes of the WINDOW words on each side through tanh of their summed
+embeddings to the class of the word between, as two digits. It starts at the class counts and trains
+on all documents in ROUNDS rounds of parameter mixing.
+
+A rare word's probability is that of the rare classes, times its own among the rare words of its
+context: of the a times (out of b) that the corpus has it, or any rare word, between the same two
+neighbours elsewhere, with the network as prior:
+
+    (a + PRIOR * class given rare * count of the word / count of its class) / (b + PRIOR)
+
+The occurrence itself is left out of a and b. The sum of log-probabilities of all words scores a
+document. Words and contexts beyond any table that a task holds meet their counts in the shuffle:
+packed by word, then by context; contexts that crowd a flush send combined counts, and their
+occurrences join the totals.
 """
 
 from __future__ import annotations
@@ -20,19 +31,45 @@ from pyspark.sql import functions as F
 from .. import storage
 from . import textkit as K
 
-DIGIT = 16
+DIGIT = 64
 CLASSES = DIGIT * DIGIT
+RARE_DIGITS = 4  # the last first digits, those of the rare classes
+HEADS = CLASSES - RARE_DIGITS * DIGIT
+LEAST = 50  # occurrences of a head: fewer teach a class of its own too little
+KNOWN = 1 << 16  # most frequent words, whose counts every task holds
 WINDOW = 2
 HIDDEN = 16
-RATE, BATCH = 0.5, 8192
+ROUNDS = 2
+RATE, BATCH = 0.5, 2048
+PRIOR = 2.0  # occurrences that the network's word weighs against a context's
 BLOCK = 4096  # weights in one row of what is gathered
-SALTS = 16
+FLUSH = 1 << 19  # occurrences in a flush
+CROWD = 256  # occurrences of one context in a flush from which they go by combined counts
 _HALVES = np.repeat(np.eye(2, dtype=np.float32), DIGIT, axis=0)
+DOCUMENT, BY_WORD, BY_CONTEXT, COUNTS, CROWDED, SUM, TOTAL = range(7)
+_EDGE = np.uint64(0x2545F4914F6CDD1D)  # stands for the neighbour at an end of a text
+
+
+@dataclass
+class Vocabulary:
+    """word, count, own: the KNOWN most frequent words by hash, their counts, and their class (-1: by suffix). total: of each class."""
+
+    word: np.ndarray
+    count: np.ndarray
+    own: np.ndarray
+    total: np.ndarray
+
+    def look_up(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each word (0 without), and whether it is known."""
+        if not len(self.word):
+            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        at = np.minimum(np.searchsorted(self.word, words), len(self.word) - 1)
+        return at, self.word[at] == words
 
 
 @dataclass
 class Network:
-    """embed[side][class], bias, out (first digits, then second digits), link[first][second]."""
+    """embed[side][class], bias, out (first digits, then second digits), base, link[first][second]."""
 
     embed: np.ndarray
     bias: np.ndarray
@@ -41,9 +78,15 @@ class Network:
     link: np.ndarray
 
     @classmethod
-    def fresh(cls, seed: int = 7) -> Network:
+    def fresh(cls, total: np.ndarray | None = None, seed: int = 7) -> Network:
+        """Small random weights, and the class counts as the bias."""
         r = np.random.default_rng(seed)
-        return cls(*(r.normal(0, 0.1, s).astype(np.float32) * k for s, k in (((2 * WINDOW * (CLASSES + 1), HIDDEN), 1), ((HIDDEN,), 0), ((HIDDEN, 2 * DIGIT), 1), ((DIGIT,), 0), ((DIGIT, DIGIT), 0))))
+        net = cls(*(r.normal(0, 0.1, s).astype(np.float32) * k for s, k in (((2 * WINDOW * (CLASSES + 1), HIDDEN), 1), ((HIDDEN,), 0), ((HIDDEN, 2 * DIGIT), 3), ((DIGIT,), 0), ((DIGIT, DIGIT), 0))))
+        if total is not None and total.sum():
+            each = total.reshape(DIGIT, DIGIT) + 0.01
+            net.base = np.log(each.sum(1) / each.sum()).astype(np.float32)
+            net.link = np.log(each / each.sum(1, keepdims=True)).astype(np.float32)
+        return net
 
     def arrays(self) -> list[np.ndarray]:
         return [self.embed, self.bias, self.out, self.base, self.link]
@@ -75,9 +118,15 @@ class Network:
         return hidden, first, second, logit, grown, grown @ _HALVES
 
     def log_probability(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        _, first, second, logit, _, total = self.forward(context, target)
+        """Of each class in its context."""
+        return self.log_probabilities(context, target)[0]
+
+    def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each class in its context, and of all rare classes together."""
+        _, first, second, logit, grown, total = self.forward(context, target)
         row = np.arange(len(target))
-        return logit[row, first] + logit[row, DIGIT + second] - np.log(total).sum(1)
+        rare = grown[:, DIGIT - RARE_DIGITS : DIGIT].sum(1) / total[:, 0]
+        return logit[row, first] + logit[row, DIGIT + second] - np.log(total).sum(1), np.log(rare)
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
         """One step on a mini-batch; embeddings take gradients of their own words only."""
@@ -89,10 +138,7 @@ class Network:
         back = grad @ self.out.T
         back *= 1 - hidden * hidden
         self.out -= np.float32(rate / n * 8) * (hidden.T @ grad)
-        self.base -= np.float32(rate / n * 8) * grad[:, :DIGIT].sum(0)
-        one = np.zeros((n, DIGIT), np.float32)
-        one[row, first] = 1
-        self.link -= np.float32(rate / n * 64) * (one.T @ grad[:, DIGIT:])
+        self.base -= np.float32(rate / n) * grad[:, :DIGIT].sum(0)
         self.bias -= np.float32(rate / n) * back.sum(0)
         back *= np.float32(-rate * 0.1)
         for k in range(context.shape[1]):
@@ -105,40 +151,86 @@ class Network:
             self.embed[own[at]] += move
 
 
-def examples(texts: K.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Context rows (embedding row numbers, sides in order) and class of every word, and first[i]."""
+def suffixes(texts: K.Texts, w: K.Spans) -> np.ndarray:
+    """Rare class of every word, by its last three bytes."""
+    d, out = K._LOWER[texts.data], np.zeros(len(w.start), np.uint64)
+    for k in range(1, 4):
+        has = w.end - w.start >= k
+        out[has] += d[w.end[has] - k].astype(np.uint64) << np.uint64(8 * k)
+    return HEADS + (K.mix(out) % np.uint64(CLASSES - HEADS)).astype(np.int32)
+
+
+def examples(texts: K.Texts, names: Vocabulary) -> tuple[np.ndarray, np.ndarray, K.Spans, np.ndarray, np.ndarray]:
+    """Context rows (embedding row numbers, sides in order), class of every word, the words, their places in names and whether they have one."""
     w = K.words(texts, lower=True)
-    target = (w.hash % np.uint64(CLASSES)).astype(np.int32)
-    owner = w.owner()
-    n = len(target)
+    at, known = names.look_up(w.hash)
+    target = suffixes(texts, w)
+    if known.any():
+        head = known & (names.own[at] >= 0)
+        target[head] = names.own[at[head]]
+    owner, n = w.owner(), len(target)
     context = np.full((n, 2 * WINDOW), CLASSES, np.int32)
     for k, d in enumerate([d for d in range(-WINDOW, WINDOW + 1) if d]):
-        at = np.arange(max(0, -d), max(0, min(n, n - d)))
-        same = at[owner[at] == owner[at + d]]
+        to = np.arange(max(0, -d), max(0, min(n, n - d)))
+        same = to[owner[to] == owner[to + d]]
         context[same, k] = target[same + d]
         context[:, k] += k * (CLASSES + 1)
-    return context, target, w.first
+    return context, target, w, at, known
 
 
-def train(docs: DataFrame, text_col: str = "text") -> Network:
-    """The mixed network over all documents; a fresh one if there are no words."""
+def count_words(docs: DataFrame, text_col: str = "text", known: int = KNOWN, heads: int = HEADS, least: int = LEAST) -> Vocabulary:
+    """Counts of all words of all documents; the driver sees the known most frequent (heads of which are classes) and the class totals."""
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def merged():
+            word, suffix, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+            own, first, inverse = np.unique(word, return_index=True, return_inverse=True)
+            return own, suffix[first], np.bincount(inverse, n).astype(np.int64)
+
+        def out() -> pa.RecordBatch:
+            word, suffix, n = merged()
+            parts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(suffix), pa.array(n)], ["word", "suffix", "n"])
 
-        net, seen = Network.fresh(), 0
         for batch in batches:
             for _, texts in K.Texts.of(batch.column(0)).chunks():
-                context, target, _ = examples(texts)
-                for i in range(0, len(target), BATCH):
-                    net.step(context[i : i + BATCH], target[i : i + BATCH], RATE / (1 + seen / 3e6) ** 0.5)
-                    seen += min(BATCH, len(target) - i)
-        if seen:
-            flat = net.flat().astype("<f4")
-            parts = [flat[i : i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)]
-            salt = (TaskContext.get().partitionId() if TaskContext.get() else 0) % SALTS
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([salt] * len(parts), pa.int32()), pa.array([float(seen)] * len(parts)), pa.array(parts, pa.binary())], ["block", "salt", "weight", "value"])
+                w = K.words(texts, lower=True)
+                parts.append((w.hash, suffixes(texts, w), np.ones(len(w.hash), np.int64)))
+                if sum(len(p[0]) for p in parts) > FLUSH:
+                    parts[:] = [merged()]
+                    if len(parts[0][0]) > FLUSH // 2:
+                        yield out()
+        if parts:
+            yield out()
+
+    words = rows.mapInArrow(count, "word long, suffix int, n long").groupBy("word").agg(F.min("suffix").alias("suffix"), F.sum("n").alias("n"))
+    words = storage.written(words, "words")
+    top = words.orderBy(F.desc("n"), "word").limit(known).toPandas()
+    by = {r["suffix"]: r["n"] for r in words.groupBy("suffix").agg(F.sum("n").alias("n")).collect()}
+    total = np.zeros(CLASSES)
+    total[list(by)] = list(by.values())
+    word, n, suffix = top["word"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64), top["suffix"].to_numpy(np.int64)
+    heads = min(heads, int((n >= least).sum()))
+    own = np.where(np.arange(len(word)) < heads, np.arange(len(word)), -1)
+    np.subtract.at(total, suffix[:heads], n[:heads])
+    total[: len(n[:heads])] = n[:heads]
+    order = np.argsort(word)
+    return Vocabulary(word[order], n[order], own[order], total)
+
+
+def train(docs: DataFrame, names: Vocabulary, text_col: str = "text", rounds: int = ROUNDS) -> Network:
+    """The mixed network over all documents; the class counts alone if there are no words.
+
+    In each round every partition trains a copy on its documents, and the copies are averaged by
+    tokens. The result depends on how the rows lie in partitions, by a few hundredths of a nat a word.
+    """
+    rows = docs.select(F.col(text_col).cast("string").alias("text"))
+    net = Network.fresh(names.total)
+    salts = max(1, storage.scan_partitions(docs) // 32)
+    schema = "block int, salt int, weight double, value binary"
 
     def mix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Weighted means by block of what a partition has; a few numbers a block at any time."""
@@ -152,39 +244,219 @@ def train(docs: DataFrame, text_col: str = "text") -> Network:
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([0] * len(total), pa.int32()), pa.array(list(weight.values())), pa.array([(total[b] / weight[b]).astype("<f4").tobytes() for b in total], pa.binary())], ["block", "salt", "weight", "value"])
 
-    schema = "block int, salt int, weight double, value binary"
-    parts = -(-(Network.fresh().flat().size) // BLOCK)
-    some = rows.mapInArrow(fit, schema).repartition(parts, "block", "salt").mapInArrow(mix, schema)
-    whole = storage.written(some.repartition(parts, "block").mapInArrow(mix, schema).select("block", "value"), "network")
-    got = {r["block"]: r["value"] for r in whole.collect()}  # one network: its size is fixed
-    if not got:
-        return Network.fresh()
-    return Network.of(np.concatenate([np.frombuffer(bytes(got[b]), "<f4") for b in sorted(got)]))
-
-
-def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, log_prob (natural logarithm, summed over all words), mean_log_prob (null without words)."""
+    for turn in range(rounds):
+        start = net.flat()
+
+        def fit(batches: Iterator[pa.RecordBatch], start=start, turn=turn) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+
+            own, seen = Network.of(start), 0
+            for batch in batches:
+                for _, texts in K.Texts.of(batch.column(0)).chunks():
+                    context, target, *_ = examples(texts, names)
+                    for i in range(0, len(target), BATCH):
+                        own.step(context[i : i + BATCH], target[i : i + BATCH], RATE / (1 + turn) / (1 + seen / 3e6) ** 0.5)
+                    seen += len(target)
+            if seen:
+                flat = own.flat().astype("<f4")
+                parts = [flat[i : i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)]
+                salt = (TaskContext.get().partitionId() if TaskContext.get() else 0) % salts
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([salt] * len(parts), pa.int32()), pa.array([float(seen)] * len(parts)), pa.array(parts, pa.binary())], ["block", "salt", "weight", "value"])
+
+        blocks = -(-len(start) // BLOCK)
+        some = rows.mapInArrow(fit, schema).repartition(blocks * salts, "block", "salt").mapInArrow(mix, schema)
+        whole = storage.written(some.repartition(blocks, "block").mapInArrow(mix, schema).select("block", "value"), "network")
+        got = {r["block"]: r["value"] for r in whole.collect()}  # one network: its size is fixed
+        if got:
+            net = Network.of(np.concatenate([np.frombuffer(bytes(got[b]), "<f4") for b in sorted(got)]))
+    return net
+
+
+_LOW = np.uint64((1 << 48) - 1)  # of a word's hash
+#: Occurrences of rare words: rec (its document), context, word, prior (log of the network's share; by word still without the word's count).
+_OCCURRENCE = np.dtype([("rec", "<i8"), ("context", "<u8"), ("word", "<u8"), ("prior", "<f4")])
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Occurrences in order of rec: records, how many each has, then contexts, six bytes of each word, priors."""
+    rec, n = np.unique(x["rec"], return_counts=True)
+    word = np.ascontiguousarray(x["word"]).view(np.uint8).reshape(-1, 8)[:, :6]
+    return np.uint32(len(rec)).tobytes() + rec.tobytes() + n.astype("<u4").tobytes() + x["context"].tobytes() + word.tobytes() + x["prior"].tobytes()
+
+
+def _unpack(blob) -> np.ndarray:
+    k = int(np.frombuffer(blob, "<u4", 1)[0])
+    rec, n = np.frombuffer(blob, "<i8", k, 4), np.frombuffer(blob, "<u4", k, 4 + 8 * k)
+    m, at = int(n.sum()), 4 + 12 * k
+    out = np.zeros(m, _OCCURRENCE)
+    out["rec"], out["context"] = np.repeat(rec, n), np.frombuffer(blob, "<u8", m, at)
+    word = np.zeros((m, 8), np.uint8)
+    word[:, :6] = np.frombuffer(blob, np.uint8, 6 * m, at + 8 * m).reshape(-1, 6)
+    out["word"], out["prior"] = word.view("<u8").ravel(), np.frombuffer(blob, "<f4", m, at + 14 * m)
+    return out
+
+
+def _dealt(x: np.ndarray, kind: int, key: str, buckets: int) -> Iterator[tuple[int, int, bytes]]:
+    """(kind, bucket, blob) of occurrences by a hash of the key."""
+    bucket = (K.mix(x[key] & _LOW) >> np.uint64(40)) % np.uint64(buckets)
+    order = np.lexsort((x["rec"], bucket))
+    x, bucket = x[order], bucket[order]
+    keys, first = np.unique(bucket, return_index=True)
+    for k, a, b in zip(keys.tolist(), first.tolist(), [*first[1:].tolist(), len(x)], strict=True):
+        yield kind, k, _pack(x[a:b])
+
+
+def _by_context(x: np.ndarray, buckets: int, most: int) -> Iterator[tuple[int, int, bytes]]:
+    """Occurrences by context; those of crowded contexts stay where they are, and send combined counts (as rec)."""
+    x["word"] &= _LOW
+    own, inverse, n = np.unique(x["context"], return_inverse=True, return_counts=True)
+    crowd = (n > most)[inverse]
+    if crowd.any():
+        many = x[crowd]
+        pair, first, n = np.unique(many[["context", "word"]], return_index=True, return_counts=True)
+        counts = many[first]
+        counts["rec"] = n
+        yield from _dealt(counts, COUNTS, "context", buckets)
+        yield CROWDED, -1, _pack(many[np.argsort(many["rec"], kind="stable")])
+    if not crowd.all():
+        yield from _dealt(x[~crowd], BY_CONTEXT, "context", buckets)
+
+
+def _score(prior: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.log((a + PRIOR * np.exp(prior.astype(np.float64))) / (b + PRIOR))
+
+
+def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    kind, part, blob = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(part, pa.int32()), pa.array(blob, pa.binary())], ["kind", "part", "blob"])
+
+
+def _opened(table: pa.Table, kind: int) -> np.ndarray:
+    got = [_unpack(b.as_buffer()) for k, b in zip(table.column("kind").to_pylist(), table.column("blob"), strict=True) if k == kind]
+    return np.concatenate([np.zeros(0, _OCCURRENCE), *got])
+
+
+def score(docs: DataFrame, names: Vocabulary, net: Network, id_col: str = "doc_id", text_col: str = "text", crowd_of: int = CROWD) -> DataFrame:
+    """doc_id, n_tokens, log_prob (natural logarithm, summed over all words), mean_log_prob (null without words).
+
+    The contexts and the counts of words beyond the vocabulary are those of docs.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
     flat = net.flat()
+    buckets = min(1 << 16, max(16, storage.scan_partitions(docs)))
+    columns = ["kind", "part", "blob", "rec", "doc_id", "n", "total"]
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        own, rec = Network.of(flat), (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
+        rare_total = np.log(np.maximum(names.total, 1))
+        held: list[list[np.ndarray]] = [[], []]  # words without a count yet, and with
+        type_ = None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            out: list[tuple[int, int, bytes]] = []
+            if held[0]:
+                out += _dealt(np.concatenate(held[0]), BY_WORD, "word", buckets)
+            if held[1]:
+                out += _by_context(np.concatenate(held[1]), buckets, crowd_of)
+            held[:] = [[], []]
+            if out:
+                packed = _batch(out)
+                yield pa.RecordBatch.from_arrays([*packed.columns, *(pa.nulls(len(out), t) for t in (pa.int64(), type_, pa.int64(), pa.float64()))], columns)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Network.of(flat)
         for batch in batches:
+            type_ = batch.column(0).type
             for part, texts in K.Texts.of(batch.column(1)).chunks():
-                context, target, first = examples(texts)
-                got = np.zeros(len(target))
+                context, target, w, at, known = examples(texts, names)
+                p, any_rare = np.zeros(len(target)), np.zeros(len(target))
                 for i in range(0, len(target), BATCH):
-                    got[i : i + BATCH] = own.log_probability(context[i : i + BATCH], target[i : i + BATCH])
-                n, total = np.diff(first), K.sums(got, first)
-                mean = pa.array(total / np.maximum(1, n), pa.float64(), mask=n == 0)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.start, len(texts)), pa.array(n, pa.int64()), pa.array(total), mean], ["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
+                    p[i : i + BATCH], any_rare[i : i + BATCH] = own.log_probabilities(context[i : i + BATCH], target[i : i + BATCH])
+                rare, owner, n = np.flatnonzero(target >= HEADS), w.owner(), np.diff(w.first)
+                total = K.sums(np.where(target >= HEADS, any_rare, p), w.first)
+                empty = [pa.nulls(len(n), t) for t in (pa.int32(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), DOCUMENT, np.int32)), *empty, pa.array(rec + np.arange(len(n))), batch.column(0).slice(part.start, len(n)), pa.array(n, pa.int64()), pa.array(total)], columns)
+                left, right = np.full(len(owner), _EDGE), np.full(len(owner), _EDGE)
+                inner = np.flatnonzero(owner[1:] == owner[:-1])
+                left[inner + 1], right[inner] = w.hash[inner], w.hash[inner + 1]
+                x = np.zeros(len(rare), _OCCURRENCE)
+                x["rec"], x["word"] = rec + owner[rare], w.hash[rare]
+                x["context"] = K.mix(left[rare] + K.mix(right[rare]))
+                count = names.count[at[rare]] if len(names.count) else np.ones(len(rare))
+                x["prior"] = (p - any_rare)[rare] - rare_total[target[rare]] + np.where(known[rare], np.log(count), 0)
+                for side, own_words in zip(held, (x[~known[rare]], x[known[rare]]), strict=True):
+                    if len(own_words):
+                        side.append(own_words)
+                rec += len(n)
+                if sum(len(y) for side in held for y in side) > FLUSH:
+                    yield from flush()
+        yield from flush()
+
+    told = storage.written(rows.mapInArrow(tell, f"kind int, part int, blob binary, rec long, doc_id {kind}, n long, total double"), "occurrences")
+
+    def count(table: pa.Table) -> pa.Table:
+        """All occurrences of a bucket's words: their counts complete the priors."""
+        x = _opened(table, BY_WORD)
+        _, inverse, n = np.unique(x["word"], return_inverse=True, return_counts=True)
+        x["prior"] += np.log(n)[inverse].astype(np.float32)
+        return pa.Table.from_batches([_batch(list(_by_context(x, buckets, crowd_of)))])
+
+    packed = "kind int, part int, blob binary"
+    counted = storage.written(told.where(F.col("kind") == BY_WORD).select("kind", "part", "blob").groupBy("part").applyInArrow(count, packed), "counted")
+    blobs = told.select("kind", "part", "blob").unionByName(counted)
+
+    def meet(table: pa.Table) -> pa.Table:
+        """All occurrences of a bucket's contexts, or their counts: sums by document, and totals for crowded contexts."""
+        x, crowd = _opened(table, BY_CONTEXT), _opened(table, COUNTS)
+        both = np.concatenate([x[["context", "word"]], crowd[["context", "word"]]])
+        weight = np.concatenate([np.ones(len(x), np.int64), crowd["rec"]])
+        order = np.lexsort((both["word"], both["context"]))
+        both = both[order]
+        new = np.ones(len(both), bool)
+        new[1:] = both["context"][1:] != both["context"][:-1]
+        pair = new.copy()
+        pair[1:] |= both["word"][1:] != both["word"][:-1]
+        a, b = np.zeros(len(both), np.int64), np.zeros(len(both), np.int64)
+        for out, run in ((a, pair), (b, new)):
+            which = np.cumsum(run) - 1
+            out[order] = np.bincount(which, weight[order])[which].astype(np.int64) - 1 if len(both) else 0
+        rec, inverse = np.unique(x["rec"], return_inverse=True)
+        total = np.bincount(inverse, _score(x["prior"], a[: len(x)], b[: len(x)]), minlength=len(rec))
+        some = np.unique(crowd[["context", "word"]], return_index=True)[1]
+        kinds = np.repeat([SUM, TOTAL], [len(rec), len(some)])
+        none = np.zeros(len(rec), np.int64)
+        columns = [kinds, np.concatenate([rec, crowd["context"][some].view(np.int64)]), *(np.concatenate([none, y]) for y in (crowd["word"][some].view(np.int64), a[len(x) :][some], b[len(x) :][some])), np.concatenate([total, np.zeros(len(some))])]
+        return pa.table({name: pa.array(y).cast(t) for name, y, t in zip(("kind", "key", "word", "a", "b", "total"), columns, (pa.int32(), *[pa.int64()] * 4, pa.float64()), strict=True)})
+
+    met = blobs.where(F.col("kind").isin(BY_CONTEXT, COUNTS)).groupBy("part").applyInArrow(meet, "kind int, key long, word long, a long, b long, total double")
+    met = storage.written(met, "met")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column(0):
+                x = _unpack(blob.as_buffer())
+                yield pa.RecordBatch.from_arrays([pa.array(x["rec"]), pa.array(x["context"].copy().view(np.int64)), pa.array(x["word"].copy().view(np.int64)), pa.array(x["prior"].astype(np.float64))], ["rec", "key", "word", "prior"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, log_prob double, mean_log_prob double")
+    crowd = blobs.where(F.col("kind") == CROWDED).select("blob").mapInArrow(each, "rec long, key long, word long, prior double")
+    totals = met.where(F.col("kind") == TOTAL).select("key", "word", "a", "b")
+    share = F.log((F.col("a") + F.lit(PRIOR) * F.exp("prior")) / (F.col("b") + F.lit(PRIOR)))
+    sums = met.where(F.col("kind") == SUM).select(F.col("key").alias("rec"), "total").unionByName(crowd.join(totals, ["key", "word"]).select("rec", share.alias("total")))
+    sums = sums.groupBy("rec").agg(F.sum("total").alias("rare"))
+    log_prob = F.col("total") + F.coalesce("rare", F.lit(0.0))
+    out = told.where(F.col("kind") == DOCUMENT).join(sums, "rec", "left").withColumn("log_prob", log_prob)
+    return out.select("doc_id", F.col("n").alias("n_tokens"), "log_prob", F.when(F.col("n") > 0, F.col("log_prob") / F.col("n")).alias("mean_log_prob"))
 
 
 def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Train on all documents and score each of them. Null and empty texts have no words: log_prob 0, mean null."""
-    return score(docs, train(docs, text_col), id_col, text_col)
+    """Train on all documents and score each of them: doc_id, n_tokens, log_prob, mean_log_prob.
+
+    Null and empty texts have no words: log_prob 0, mean null. Repeated rows and null ids are scored
+    each; copies are occurrences of each other's contexts, so their words score higher. An empty
+    table gives an empty result. Scores depend a little on how the rows lie in partitions (see train).
+    """
+    names = count_words(docs, text_col)
+    return score(docs, names, train(docs, names, text_col), id_col, text_col)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,6 +99,7 @@ class Model:
     def _clear(self) -> None:
         self.known, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.first, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.bytes_first, self.bytes = np.zeros(1, np.int64), np.zeros(0, np.uint8)
 
     @staticmethod
     def _key(piece: str) -> np.uint64:
@@ -183,7 +184,7 @@ class Model:
         lead = np.zeros(len(d), bool)
         lead[heads] = self.prefix
         lead = lead[start]
-        hashes = K.mix(K.span_hash(K.prefix_hash(d), start, end) + lead.astype(np.uint64))
+        hashes = K.mix(K.span_hash(d, start, end) + lead.astype(np.uint64))
         keys, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) + len(keys) > CACHE:
             self._clear()
@@ -196,11 +197,22 @@ class Model:
             rows = np.arange(len(words)) + len(self.first) - 1
             self.first = np.concatenate([self.first, self.first[-1] + bounds[1:]])
             self.ids = np.concatenate([self.ids, found])
+            plain = [raw[start[i] : end[i]] for i in example[new]]
+            self.bytes_first = np.concatenate([self.bytes_first, self.bytes_first[-1] + np.cumsum([len(w) for w in plain])])
+            self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(plain), np.uint8)])
             where = np.searchsorted(self.known, keys[new])
             self.known, self.rows = np.insert(self.known, where, keys[new]), np.insert(self.rows, where, rows)
             at = np.searchsorted(self.known, keys)
         row = self.rows[at][inverse]
-        return _gather(self.ids, self.first, row), np.concatenate([[0], np.cumsum(self.first[row + 1] - self.first[row])])[np.searchsorted(start, texts.bounds)]
+        size = self.bytes_first[row + 1] - self.bytes_first[row]
+        bad = np.flatnonzero((size != end - start) | ~K.same(d, start, np.minimum(size, end - start), self.bytes, self.bytes_first[row]))
+        values, first = self.ids, self.first
+        if len(bad):  # another word has the same hash: segmented without the cache
+            raw = d.tobytes()
+            found, bounds = self.segment([(MARK if lead[i] else "") + raw[start[i] : end[i]].decode("utf-8", "replace").replace(" ", MARK) for i in bad])
+            row[bad] = len(first) - 1 + np.arange(len(bad))
+            values, first = np.concatenate([values, found]), np.concatenate([first, first[-1] + bounds[1:]])
+        return _gather(values, first, row), np.concatenate([[0], np.cumsum(first[row + 1] - first[row])])[np.searchsorted(start, texts.bounds)]
 
     def decode(self, ids: np.ndarray, first: np.ndarray) -> K.Texts:
         """The texts of ids; the space that encoding puts in front is taken off."""

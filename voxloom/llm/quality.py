@@ -33,12 +33,8 @@ def line_keys(texts: K.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     a, b = np.searchsorted(w.start, start), np.searchsorted(w.start, end)
     owner = np.repeat(np.arange(len(texts)), np.diff(first))
     number = np.arange(len(start)) - first[owner]
-    power, inverse = K.powers(len(w.hash) + 1, K.BASE), K.powers(len(w.hash) + 1, K.BASE_INVERSE)
-    total = np.zeros(len(w.hash) + 1, np.uint64)
-    np.cumsum(w.hash * power[:-1], out=total[1:])
-    key = K.mix((total[b] - total[a]) * inverse[a] + (b - a).astype(np.uint64))
     has = b > a
-    return owner[has], number[has], (b - a)[has], key[has]
+    return owner[has], number[has], (b - a)[has], K.run_hash(w.hash, a[has], b[has])
 
 
 def _marks(owner: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -60,11 +56,12 @@ def base_counts(texts: K.Texts) -> np.ndarray:
     counted = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[texts.bounds])
     chars = counted((d & 0xC0) != 0x80) - counted(K._SPACE[d])
     start, end, first = K.lines(texts)
-    key = K.span_hash(K.prefix_hash(d), start, end)
     solid = np.searchsorted(w.start, end) > np.searchsorted(w.start, start)
     owner = np.repeat(np.arange(len(texts)), np.diff(first))[solid]
-    distinct = np.unique(np.stack([owner.astype(np.uint64), key[solid]]), axis=1)[0].astype(np.int64)
-    dup = np.bincount(owner, minlength=len(texts)) - np.bincount(distinct, minlength=len(texts))
+    dup, raw = np.bincount(owner, minlength=len(texts)), d.tobytes()
+    lines = [raw[a:b] for a, b in zip(start[solid].tolist(), end[solid].tolist(), strict=True)]
+    bounds = np.concatenate([[0], np.cumsum(dup)])
+    dup = dup - np.array([len(set(lines[a:b])) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], np.int64)
     h, window_owner = K.windows(w.hash, w.first, 3)
     again = _marks(window_owner, h)
     n = np.diff(w.first)

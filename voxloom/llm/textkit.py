@@ -1,12 +1,14 @@
 """Vectorised text kernels on whole UTF-8 buffers: word bounds, word hashes, shingles, lines.
 
 Everything here works on one flat byte buffer of many texts with their bounds, so that the cost per
-byte is a few numpy passes and no Python object is made per word. Hashes are 64 bits wide; two
-different words of one text share a hash with odds of about n^2 / 2^65.
+byte is a few numpy passes and no Python object is made per word. Hashes are 64 bits wide and chain
+a non-linear scrambler over eight bytes at a time, so that n different words share a hash with odds
+of about n^2 / 2^65 whatever their make-up; spans of over LONG parts take BLAKE2b.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -17,7 +19,6 @@ import pyarrow as pa
 #: Bytes of text that one kernel call takes; a longer text makes a call of its own.
 CHUNK = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -35,7 +36,6 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 LOWER_TABLE = _LOWER.tobytes()
-_BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
 
 @lru_cache(maxsize=4)
@@ -99,18 +99,67 @@ class Spans:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_CODE[data] * powers(max(1, len(data)), BASE)[: len(data)], out=out[1:])
-    return out
+#: Parts (eight bytes, or one value) of a span that are chained in numpy; longer spans are hashed one by one.
+LONG = 16
+
+
+def _parts(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on, as numbers; bytes beyond the end are 0."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))
+
 
+def _part(parts: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Of each span the part at a position, without the bytes beyond the span."""
+    spare = (8 * (8 - np.minimum(left, 8))).astype(np.uint64)
+    return (parts[at] << spare) >> spare
 
-def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the bytes of each span; equal bytes, equal hashes, wherever they stand."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    inverse = powers(len(prefix), BASE_INVERSE)
-    return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(np.uint64))
+    size = end - start
+    out, parts = mix(size.astype(np.uint64)), _parts(data)
+    live = np.flatnonzero((size > 0) & (size <= 8 * LONG))
+    at = 0
+    while len(live):
+        left = size[live] - at
+        out[live] = mix((out[live] + BASE) ^ _part(parts, start[live] + at, left))
+        live, at = live[left > 8], at + 8
+    for i in np.flatnonzero(size > 8 * LONG):
+        out[i] = _long(data[start[i] : end[i]])
+    return out
+
+
+def run_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of runs of 64-bit values; equal runs, equal hashes."""
+    size = end - start
+    out = mix(size.astype(np.uint64) ^ BASE)
+    live = np.flatnonzero((size > 0) & (size <= LONG))
+    at = 0
+    while len(live):
+        out[live] = mix((out[live] + BASE) ^ values[start[live] + at])
+        at += 1
+        live = live[size[live] > at]
+    for i in np.flatnonzero(size > LONG):
+        out[i] = _long(values[start[i] : end[i]])
+    return out
+
+
+def _long(values: np.ndarray) -> np.uint64:
+    return np.frombuffer(hashlib.blake2b(np.ascontiguousarray(values).tobytes(), digest_size=8).digest(), np.uint64)[0]
+
+
+def same(data: np.ndarray, start: np.ndarray, size: np.ndarray, other: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Whether size[i] bytes of data from start[i] on are those of other from begin[i] on."""
+    out, x, y = np.ones(len(start), bool), _parts(data), _parts(other)
+    live, at = np.flatnonzero(size > 0), 0
+    while len(live):
+        left = size[live] - at
+        good = _part(x, start[live] + at, left) == _part(y, begin[live] + at, left)
+        out[live] = good
+        live, at = live[good & (left > 8)], at + 8
+    return out
 
 
 def words(texts: Texts, lower: bool, within: np.ndarray = ~_SPACE) -> Spans:
@@ -124,7 +173,7 @@ def words(texts: Texts, lower: bool, within: np.ndarray = ~_SPACE) -> Spans:
     begins[inner] = solid[inner]  # a new text begins a new word
     ends[:-1] = solid[:-1] & (~solid[1:] | begins[1:])
     start, end = np.flatnonzero(begins[:-1]), np.flatnonzero(ends[:-1]) + 1
-    return Spans(start, end, span_hash(prefix_hash(data), start, end), np.searchsorted(start, texts.bounds))
+    return Spans(start, end, span_hash(data, start, end), np.searchsorted(start, texts.bounds))
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
