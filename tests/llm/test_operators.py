@@ -221,30 +221,57 @@ def edit(a, b):
 
 
 def test_op9_is_the_brute_force_line_dedup(spark, docs):
+    """Edit distance alone is the truth: nothing else goes, and nearly all of it does."""
     small = docs.where("doc_id is not null and length(text) < 3000")
     found = {}
     for r in small.select("doc_id", "text").distinct().collect():
         for k, x in enumerate(r.text.split("\n")):
-            if len(norm(x).split(" ")) >= lines.MIN_WORDS:
+            if norm(x):
                 found.setdefault(norm(x), []).append((r.doc_id, k))
     names = sorted(found)
-    t = K.Texts.of(pa.array(names))
-    w = K.words(t, True)
-    sim = lines.simhashes(w.hash, w.first)
-    near = lambda a, b: np.bitwise_count(sim[a] ^ sim[b]) <= lines.BITS and edit(names[a], names[b]) <= max(len(names[a]), len(names[b])) // 10
-    groups = components(range(len(names)), near)
+    size = [len(x.split(" ")) for x in names]
+    pairs = set()
+    for a in range(len(names)):
+        for b in range(a):
+            most = max(len(names[a]), len(names[b])) // 10
+            if min(size[a], size[b]) >= lines.NEAR_WORDS and abs(len(names[a]) - len(names[b])) <= most and len(set(names[a].split(" ")) & set(names[b].split(" "))) * 2 >= size[a] and edit(names[a], names[b]) <= most:
+                pairs.add((b, a))
+    groups = components(range(len(names)), lambda a, b: (a, b) in pairs)
     keeper = {}
     for i, g in groups.items():
         keeper[g] = min([keeper.get(g, (10**9, 0)), *found[names[i]]])
-    gone = {o for i, g in groups.items() for o in found[names[i]] if o != keeper[g]}
+    want = {o for i, g in groups.items() for o in found[names[i]] if o != keeper[g]}
     rows = lines.mark(small).collect()
-    assert {(r.doc_id, k) for r in rows for k in r.removed} == gone and len(rows) == small.count()
+    gone = {(r.doc_id, k) for r in rows for k in r.removed}
+    assert len(rows) == small.count() and gone <= want and len(gone) >= 0.95 * len(want) > 50
     kept = {r.doc_id: r.text for r in lines.dedup(small).collect()}
     for r in small.collect():
         left = [x for k, x in enumerate(r.text.split("\n")) if (r.doc_id, k) not in gone]
         assert kept.get(r.doc_id, "\n".join(left)) == "\n".join(left)
 
 
+def test_op9_blocks_reach_planted_edits():
+    """One replaced word, a tenth of the letters at most, in lines of 8 to 60 words: by SimHash blocks alone, and with the runs."""
+    r, alone, both, n = random.Random(12), 0, 0, 0
+    word = lambda: "".join(r.choice("abcdefghijklm") for _ in range(max(1, int(r.gauss(6, 3)))))
+    frequent = [word() for _ in range(30)]
+    while n < 400:
+        x = [r.choice(frequent) if r.random() < 0.4 else word() for _ in range(r.randint(8, 60))]
+        y = list(x)
+        y[r.randrange(len(y))] = word()
+        if edit(" ".join(x), " ".join(y)) > max(len(" ".join(x)), len(" ".join(y))) // 10 or x == y:
+            continue
+        n += 1
+        got = []
+        for line in (x, y):
+            w = K.words(K.Texts.of(pa.array([" ".join(line)])), True)
+            first, letters = np.array([0, len(w.hash)]), w.end - w.start
+            got.append((set(lines.block_signatures(w.hash, letters, first).ravel()), set(lines.run_signatures(w.hash, letters, first)[0])))
+        alone += bool(got[0][0] & got[1][0])
+        both += bool(got[0][0] & got[1][0]) or bool(got[0][1] & got[1][1])
+    assert alone >= 0.9 * n and both == n, (alone, both)
+
+
 def test_op9_removes_repeats_of_short_lines(spark):
     rows = [(1, "Home\n\nfresh words one\nHOME", "en", "s", 0), (2, "read  more\n\nhome\nother", "en", "s", 0), (3, "Read more", "en", "s", 0)]
     found = spark.createDataFrame(rows, DOCS)
@@ -272,21 +299,12 @@ def test_op9_finds_near_lines_by_edit_distance_alone(spark):
     near = lambda a, b: a // 3 == b // 3 and edit(names[a], names[b]) <= max(len(names[a]), len(names[b])) // 10
     want = components(range(len(names)), near)
     rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
-    gone = {x.doc_id for x in lines.mark(spark.createDataFrame(rows, DOCS).repartition(3), shortest=1, near="edit").collect() if x.removed}
+    gone = {x.doc_id for x in lines.mark(spark.createDataFrame(rows, DOCS).repartition(3), shortest=1).collect() if x.removed}
     missed = {i for i in want if want[i] != i} - gone
     assert gone <= {i for i in want if want[i] != i} and len(want) - len(set(want.values())) > 100
     assert not missed
 
 
-def test_op9_masks_cover_every_difference():
-    r = random.Random(4)
-    for n in (10, 10**6, 10**10):
-        masks = lines.blocks(n)
-        for _ in range(200):
-            d = sum(1 << b for b in r.sample(range(64), lines.BITS))
-            assert any(int(m) & d == 0 for m in masks)
-
-
 def test_op8_shards_are_whole_and_even(spark, docs):
     rows = sharding.shard(docs).collect()
     assert len(rows) == docs.count()

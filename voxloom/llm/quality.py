@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import storage
@@ -111,14 +111,24 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "boilerplate_words", "boilerplate_lines", "text_key", "host")
 
 
+def without_lines(text: Column, places: Column) -> Column:
+    """The text without the \n-split lines of these numbers."""
+    lines = F.split(text, "\n", -1)
+    return F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places), lambda i: F.get(lines, i)), "\n")
+
+
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """The rows of docs that judge() keeps, with the columns of docs; their text is without its boilerplate lines."""
-    good = judge(docs, id_col, text_col, host_col).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key"), F.col("host").alias("__host"), F.col("boilerplate_lines").alias("__lines")).dropDuplicates(["__id", "__text_key", "__host"])
-    text = F.col(text_col).cast("string")
-    on = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__text_key")) & (F.coalesce(F.col(host_col).cast("string"), F.lit("")) == F.col("__host"))
-    left = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("__lines", i)), "\n")
-    out = docs.join(good, on)
-    return out.select(*(F.when(F.size("__lines") == 0, text).otherwise(left).alias(c) if c == text_col else docs[c] for c in docs.columns))
+    """The rows of docs that judge() keeps, with the columns of docs; their text is without its boilerplate lines.
+
+    Null and empty texts go. Rows that repeat id, text and host stay or go together, as do rows with a
+    null id; a null host is a host. An empty table gives an empty result.
+    """
+    own_id, key, host, places = K.unused(docs.columns, "id", "key", "host", "places")
+    good = judge(docs, id_col, text_col, host_col).where("kept").select("doc_id", "text_key", "host", "boilerplate_lines").toDF(own_id, key, host, places).dropDuplicates([own_id, key, host])
+    text = docs[text_col].cast("string")
+    on = docs[id_col].eqNullSafe(good[own_id]) & (F.xxhash64(F.coalesce(text, F.lit(""))) == good[key]) & (F.coalesce(docs[host_col].cast("string"), F.lit("")) == good[host])
+    left = F.when(F.size(good[places]) == 0, text).otherwise(without_lines(text, good[places]))
+    return docs.join(good, on).select(*(left.alias(c) if c == text_col else docs[c] for c in docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -234,3 +234,14 @@ def lines(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     owner_e = np.concatenate([np.searchsorted(texts.bounds, feeds, "right") - 1, np.arange(len(texts))])
     order_e = np.lexsort((ends, owner_e))
     return starts[order], ends[order_e], np.searchsorted(owner_s[order], np.arange(len(texts) + 1))
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """names, each with underscores in front until no column is called so (in any case of letters)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
