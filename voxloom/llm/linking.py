@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import storage
 from ..operators.graph import connected_components
+from . import textkit as K
 
 #: Records in a group that gives all its pairs.
 SMALL = 6
@@ -75,14 +76,14 @@ def _blobs(parts: list[Signed], buckets: int) -> Iterator[tuple[int, bool, bytes
             yield int(k), crowd, _pack(rid[r], spare[r], counts, sig[own[np.argsort(rec[own], kind="stable")]])
 
 
-def _meet(table: pa.Table) -> Iterator[tuple]:
+def _meet(table: pa.Table, spread: int | None) -> Iterator[tuple]:
     """(kind, a, b, n, spare) columns for one bucket."""
     high = np.uint64(table.column("bucket")[0].as_py()) << np.uint64(48)  # apart from other buckets' signatures
     crowd = table.column("crowd").to_numpy()
     got = [_unpack(x.as_buffer()) for x in table.column("blob")]
     for c, (sig, rid, spare) in zip(crowd, got, strict=True):
         if c:
-            yield np.full(len(sig), MEMBER), (sig | high).view(np.int64), rid, np.full(len(sig), CROWD), spare
+            yield np.full(len(sig), MEMBER), (sig | high).view(np.int64), rid, np.full(len(sig), CROWD), spare if spread is None else np.zeros(len(sig), np.int64)
     got = [g for c, g in zip(crowd, got, strict=True) if not c]
     if not got:
         return
@@ -93,25 +94,38 @@ def _meet(table: pa.Table) -> Iterator[tuple]:
     same[1:-1] = s[1:] == s[:-1]
     order = order[same[1:] | same[:-1]]  # signatures met more than once
     sig, rid, spare = sig[order], rid[order], spare[order]
-    order = np.lexsort((rid, sig))
+    order = np.lexsort((rid, sig) if spread is None else (rid, spare, sig))
     sig, rid, spare = sig[order], rid[order], spare[order]
     keep = np.ones(len(sig), bool)
     keep[1:] = (sig[1:] != sig[:-1]) | (rid[1:] != rid[:-1])
     sig, rid, spare = sig[keep], rid[keep], spare[keep]
     if not len(sig):
         return
-    run = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+    edge = np.concatenate([[True], sig[1:] != sig[:-1]])
+    name = sig | high
+    if spread is not None:  # a gap of bands parts a group, but for those of which a crowd has gone ahead
+        whole = [x[0] for c, x in zip(crowd, [_unpack(x.as_buffer()) for x in table.column("blob")], strict=True) if c]
+        whole = np.isin(sig, np.unique(np.concatenate(whole))) if whole else np.zeros(len(sig), bool)
+        gap = np.zeros(len(sig), bool)
+        gap[1:] = (spare[1:].astype(np.int64) - spare[:-1] > spread) & ~whole[1:]
+        edge |= gap
+        begin = np.flatnonzero(edge)
+        begin = np.repeat(begin, np.diff(np.append(begin, len(sig))))
+        name = np.where(whole, name, K.mix(name + (spare[begin].astype(np.uint64) << np.uint64(48))))
+    run = np.flatnonzero(edge)
     size = np.diff(np.append(run, len(sig)))
     n = np.repeat(size, size)
     big = n > SMALL
+    group = np.repeat(np.arange(len(run)), size)
     if big.any():
-        yield np.full(big.sum(), MEMBER), (sig[big] | high).view(np.int64), rid[big], n[big], spare[big]
-    sig, rid = sig[~big], rid[~big]
+        kept = spare[big] if spread is None else np.zeros(big.sum(), np.int64)
+        yield np.full(big.sum(), MEMBER), name[big].view(np.int64), rid[big], n[big], kept
+    group, rid, spare = group[~big], rid[~big], spare[~big].astype(np.int64)
     a, b = [], []
     for d in range(1, SMALL):
-        at = np.flatnonzero(sig[d:] == sig[:-d])
-        a.append(rid[at])
-        b.append(rid[at + d])
+        at = np.flatnonzero((group[d:] == group[:-d]) & (np.abs(spare[d:] - spare[:-d]) <= (65535 if spread is None else spread)))
+        a.append(np.minimum(rid[at], rid[at + d]))
+        b.append(np.maximum(rid[at], rid[at + d]))
     a, b = np.concatenate(a), np.concatenate(b)
     order = np.lexsort((b, a))
     a, b = a[order], b[order]
@@ -121,8 +135,12 @@ def _meet(table: pa.Table) -> Iterator[tuple]:
     yield np.full(len(a), PAIR), a, b, np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
 
 
-def meet(df: DataFrame, sign: Callable[[Iterator[pa.RecordBatch]], Iterator[Signed]], buckets: int, name: str) -> DataFrame:
-    """Written table of candidate pairs (kind PAIR: a < b) and of members of larger groups (kind MEMBER: a = sig, b = rid, n = group size, spare)."""
+def meet(df: DataFrame, sign: Callable[[Iterator[pa.RecordBatch]], Iterator[Signed]], buckets: int, name: str, spread: int | None = None) -> DataFrame:
+    """Written table of candidate pairs (kind PAIR: a < b) and of members of larger groups (kind MEMBER: a = sig, b = rid, n = group size, spare).
+
+    With spread, the spare of a record is a band: only records up to spread bands apart meet, and a
+    gap of more parts a group.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[Signed] = []
@@ -141,7 +159,7 @@ def meet(df: DataFrame, sign: Callable[[Iterator[pa.RecordBatch]], Iterator[Sign
         yield from flush()
 
     def one(table: pa.Table) -> pa.Table:
-        found = list(_meet(table)) or [tuple(np.zeros(0, np.int64) for _ in range(5))]
+        found = list(_meet(table, spread)) or [tuple(np.zeros(0, np.int64) for _ in range(5))]
         columns = [np.concatenate(x) for x in zip(*found, strict=True)]
         types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
         return pa.table({c: pa.array(x.astype(np.int64), pa.int64()).cast(t) for c, x, t in zip(("kind", "a", "b", "n", "spare"), columns, types, strict=True)})
@@ -275,31 +293,9 @@ def across(members: DataFrame, labels: DataFrame, classes: DataFrame, bound: Bou
     return rows.groupBy("lead", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
-#: Links of a graph whose components one task finds; a larger graph takes the distributed rounds.
-SMALL_GRAPH = 250_000
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of the ends of edges (a, b); component is the smallest id reachable."""
-    if edges.count() > SMALL_GRAPH:
-        return connected_components(edges, "a", "b")
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        up: dict[int, int] = {}
-
-        def top(x: int) -> int:
-            while up.setdefault(x, x) != x:
-                up[x] = x = up[up[x]]
-            return x
-
-        for batch in batches:
-            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
-                a, b = top(a), top(b)
-                up[max(a, b)] = min(a, b)
-        ids = list(up)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([top(x) for x in ids], pa.int64())], ["id", "component"])
-
-    return storage.written(edges.select("a", "b").coalesce(1).mapInArrow(join, "id long, component long"), "labels")
+    return connected_components(edges, "a", "b")
 
 
 def resolve(met: DataFrame, classes: DataFrame, bound: Bound, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:

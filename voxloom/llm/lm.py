@@ -4,7 +4,7 @@ Words (A-Z lower-cased) of the whole corpus are counted. The HEADS most frequent
 their own; every other word, a rare one, belongs to one of SUFFIXES classes by its last three bytes.
 The network takes the classes of the WINDOW words on each side through tanh of their summed
 embeddings to the class of the word between, as two digits. It starts at the class counts and trains
-on all documents in ROUNDS rounds of parameter mixing.
+on all documents in rounds of parameter mixing.
 
 A rare word's probability is that of the rare classes, times its own among the rare words of its
 context: of the a times (out of b) that the corpus has it, or any rare word, between the same two
@@ -39,11 +39,11 @@ LEAST = 50  # occurrences of a head: fewer teach a class of its own too little
 KNOWN = 1 << 16  # most frequent words, whose counts every task holds
 WINDOW = 2
 HIDDEN = 16
-ROUNDS = 2
+ROUNDS = 1
 RATE, BATCH = 0.5, 2048
 PRIOR = 2.0  # occurrences that the network's word weighs against a context's
 BLOCK = 4096  # weights in one row of what is gathered
-FLUSH = 1 << 19  # occurrences in a flush
+FLUSH = 1 << 18  # occurrences in a flush
 CROWD = 256  # occurrences of one context in a flush from which they go by combined counts
 _HALVES = np.repeat(np.eye(2, dtype=np.float32), DIGIT, axis=0)
 DOCUMENT, BY_WORD, BY_CONTEXT, COUNTS, CROWDED, SUM, TOTAL = range(7)
@@ -272,30 +272,43 @@ def train(docs: DataFrame, names: Vocabulary, text_col: str = "text", rounds: in
     return net
 
 
-_LOW = np.uint64((1 << 48) - 1)  # of a word's hash
+_LOW = np.uint64((1 << 48) - 1)  # of a context's or word's hash
 #: Occurrences of rare words: rec (its document), context, word, prior (log of the network's share; by word still without the word's count).
 _OCCURRENCE = np.dtype([("rec", "<i8"), ("context", "<u8"), ("word", "<u8"), ("prior", "<f4")])
+_STEPS = 1024  # of a prior to one, as it travels: within 0.0005 of its value
 
 
-def _pack(x: np.ndarray) -> bytes:
-    """Occurrences in order of rec: records, how many each has, then contexts, six bytes of each word, priors."""
+def _narrow(values: np.ndarray, size: int) -> bytes:
+    return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :size]).tobytes()
+
+
+def _wide(raw, n: int, at: int, size: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :size] = np.frombuffer(raw, np.uint8, size * n, at).reshape(-1, size)
+    return out.view("<u8").ravel()
+
+
+def _pack(x: np.ndarray, size: int) -> bytes:
+    """Occurrences in order of rec: records, how many each has, then six bytes of each context, size of each word, priors."""
     rec, n = np.unique(x["rec"], return_counts=True)
-    word = np.ascontiguousarray(x["word"]).view(np.uint8).reshape(-1, 8)[:, :6]
-    return np.uint32(len(rec)).tobytes() + rec.tobytes() + n.astype("<u4").tobytes() + x["context"].tobytes() + word.tobytes() + x["prior"].tobytes()
+    prior = np.clip(np.round(x["prior"] * -_STEPS), 0, 65535).astype("<u2")
+    return np.uint32(len(rec)).tobytes() + rec.tobytes() + n.astype("<u4").tobytes() + _narrow(x["context"], 6) + _narrow(x["word"], size) + prior.tobytes()
 
 
-def _unpack(blob) -> np.ndarray:
+def _unpack(blob, size: int) -> np.ndarray:
     k = int(np.frombuffer(blob, "<u4", 1)[0])
     rec, n = np.frombuffer(blob, "<i8", k, 4), np.frombuffer(blob, "<u4", k, 4 + 8 * k)
     m, at = int(n.sum()), 4 + 12 * k
     out = np.zeros(m, _OCCURRENCE)
-    out["rec"], out["context"] = np.repeat(rec, n), np.frombuffer(blob, "<u8", m, at)
-    word = np.zeros((m, 8), np.uint8)
-    word[:, :6] = np.frombuffer(blob, np.uint8, 6 * m, at + 8 * m).reshape(-1, 6)
-    out["word"], out["prior"] = word.view("<u8").ravel(), np.frombuffer(blob, "<f4", m, at + 14 * m)
+    out["rec"], out["context"], out["word"] = np.repeat(rec, n), _wide(blob, m, at, 6), _wide(blob, m, at + 6 * m, size)
+    out["prior"] = np.frombuffer(blob, "<u2", m, at + (6 + size) * m) / np.float32(-_STEPS)
     return out
 
 
+#: Bytes of a word's hash: among all words, and among those of one context.
+WORD_BYTES = {BY_WORD: 6, BY_CONTEXT: 4, COUNTS: 4, CROWDED: 4}
+
+
 def _dealt(x: np.ndarray, kind: int, key: str, buckets: int) -> Iterator[tuple[int, int, bytes]]:
     """(kind, bucket, blob) of occurrences by a hash of the key."""
     bucket = (K.mix(x[key] & _LOW) >> np.uint64(40)) % np.uint64(buckets)
@@ -303,12 +316,13 @@ def _dealt(x: np.ndarray, kind: int, key: str, buckets: int) -> Iterator[tuple[i
     x, bucket = x[order], bucket[order]
     keys, first = np.unique(bucket, return_index=True)
     for k, a, b in zip(keys.tolist(), first.tolist(), [*first[1:].tolist(), len(x)], strict=True):
-        yield kind, k, _pack(x[a:b])
+        yield kind, k, _pack(x[a:b], WORD_BYTES[kind])
 
 
 def _by_context(x: np.ndarray, buckets: int, most: int) -> Iterator[tuple[int, int, bytes]]:
     """Occurrences by context; those of crowded contexts stay where they are, and send combined counts (as rec)."""
-    x["word"] &= _LOW
+    x["word"] &= np.uint64((1 << 8 * WORD_BYTES[BY_CONTEXT]) - 1)
+    x["context"] &= _LOW
     own, inverse, n = np.unique(x["context"], return_inverse=True, return_counts=True)
     crowd = (n > most)[inverse]
     if crowd.any():
@@ -317,7 +331,7 @@ def _by_context(x: np.ndarray, buckets: int, most: int) -> Iterator[tuple[int, i
         counts = many[first]
         counts["rec"] = n
         yield from _dealt(counts, COUNTS, "context", buckets)
-        yield CROWDED, -1, _pack(many[np.argsort(many["rec"], kind="stable")])
+        yield CROWDED, -1, _pack(many[np.argsort(many["rec"], kind="stable")], WORD_BYTES[CROWDED])
     if not crowd.all():
         yield from _dealt(x[~crowd], BY_CONTEXT, "context", buckets)
 
@@ -332,7 +346,7 @@ def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 def _opened(table: pa.Table, kind: int) -> np.ndarray:
-    got = [_unpack(b.as_buffer()) for k, b in zip(table.column("kind").to_pylist(), table.column("blob"), strict=True) if k == kind]
+    got = [_unpack(b.as_buffer(), WORD_BYTES[kind]) for k, b in zip(table.column("kind").to_pylist(), table.column("blob"), strict=True) if k == kind]
     return np.concatenate([np.zeros(0, _OCCURRENCE), *got])
 
 
@@ -400,11 +414,12 @@ def score(docs: DataFrame, names: Vocabulary, net: Network, id_col: str = "doc_i
         x = _opened(table, BY_WORD)
         _, inverse, n = np.unique(x["word"], return_inverse=True, return_counts=True)
         x["prior"] += np.log(n)[inverse].astype(np.float32)
-        return pa.Table.from_batches([_batch(list(_by_context(x, buckets, crowd_of)))])
+        x["word"] &= np.uint64((1 << 8 * WORD_BYTES[BY_CONTEXT]) - 1)
+        return pa.Table.from_batches([_batch(list(_dealt(x, BY_CONTEXT, "context", buckets)))])
 
-    packed = "kind int, part int, blob binary"
-    counted = storage.written(told.where(F.col("kind") == BY_WORD).select("kind", "part", "blob").groupBy("part").applyInArrow(count, packed), "counted")
-    blobs = told.select("kind", "part", "blob").unionByName(counted)
+    # a word beyond the vocabulary has a small share of all words, so its contexts crowd no bucket
+    blobs = told.select("kind", "part", "blob")
+    counted = blobs.where(F.col("kind") == BY_WORD).groupBy("part").applyInArrow(count, "kind int, part int, blob binary")
 
     def meet(table: pa.Table) -> pa.Table:
         """All occurrences of a bucket's contexts, or their counts: sums by document, and totals for crowded contexts."""
@@ -429,13 +444,13 @@ def score(docs: DataFrame, names: Vocabulary, net: Network, id_col: str = "doc_i
         columns = [kinds, np.concatenate([rec, crowd["context"][some].view(np.int64)]), *(np.concatenate([none, y]) for y in (crowd["word"][some].view(np.int64), a[len(x) :][some], b[len(x) :][some])), np.concatenate([total, np.zeros(len(some))])]
         return pa.table({name: pa.array(y).cast(t) for name, y, t in zip(("kind", "key", "word", "a", "b", "total"), columns, (pa.int32(), *[pa.int64()] * 4, pa.float64()), strict=True)})
 
-    met = blobs.where(F.col("kind").isin(BY_CONTEXT, COUNTS)).groupBy("part").applyInArrow(meet, "kind int, key long, word long, a long, b long, total double")
+    met = blobs.where(F.col("kind").isin(BY_CONTEXT, COUNTS)).unionByName(counted).groupBy("part").applyInArrow(meet, "kind int, key long, word long, a long, b long, total double")
     met = storage.written(met, "met")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob in batch.column(0):
-                x = _unpack(blob.as_buffer())
+                x = _unpack(blob.as_buffer(), WORD_BYTES[CROWDED])
                 yield pa.RecordBatch.from_arrays([pa.array(x["rec"]), pa.array(x["context"].copy().view(np.int64)), pa.array(x["word"].copy().view(np.int64)), pa.array(x["prior"].astype(np.float64))], ["rec", "key", "word", "prior"])
 
     crowd = blobs.where(F.col("kind") == CROWDED).select("blob").mapInArrow(each, "rec long, key long, word long, prior double")
