@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from voxloom import schema
 from voxloom.functions import geometry as G
 from voxloom.functions.hashing import bucket
-from voxloom.operators import candidates, edges, evaluate, idmaps, inference, norm, segments
+from voxloom.operators import anchors, edges, evaluate, idmaps, inference, norm, segments, voxels
 from voxloom.operators.graph import connected_components
 from voxloom.plans.pipeline import Settings
 from voxloom.sources import tables
@@ -22,15 +22,18 @@ def test_bucket_hash(spark, values, want):
 
 
 def test_boxes(spark):
-    b = G.box(G.vec(0, 2, 4), G.vec(1, 3, 5))
-    moved = one(spark, G.translate(b, G.vec(1, 1, 1)))
-    assert (tuple(moved["min"]), tuple(moved["max"])) == ((1, 3, 5), (2, 4, 6))
-    back = one(spark, G.translate(b, G.vec(-1, -1, -1)))
-    assert (tuple(back["min"]), tuple(back["max"])) == ((-1, 1, 3), (0, 2, 4))
-    assert one(spark, G.contains(b, G.vec(0, 2, 4))) and not one(spark, G.contains(b, G.vec(1, 2, 4)))
-    assert tuple(one(spark, G.divide2d(G.box(G.vec(-3, 2, 4), G.vec(5, 4, 9)), 2))["min"]) == (-2, 1, 4)
-    grown = one(spark, G.expand_within(G.box(G.vec(0, 0, 0), G.vec(2, 2, 2)), G.vec(6, 6, 6), G.vec(20, 20, 20)))
-    assert (tuple(grown["min"]), tuple(grown["max"])) == ((0, 0, 0), (6, 6, 6))
+    b = G.box(G.vec(2, 10, 7), G.vec(6, 13, 9))
+    for by, low, high in ((3, (5, 13, 10), (9, 16, 12)), (-4, (-2, 6, 3), (2, 9, 5))):
+        moved = one(spark, G.translate(b, G.vec(by, by, by)))
+        assert (tuple(moved["min"]), tuple(moved["max"])) == (low, high)
+    assert one(spark, G.contains(b, G.vec(2, 10, 7))) and not one(spark, G.contains(b, G.vec(6, 10, 7)))
+    assert tuple(one(spark, G.divide2d(G.box(G.vec(-5, 4, 4), G.vec(7, 6, 9)), 2))["min"]) == (-3, 2, 4)
+    grown = one(spark, G.expand_within(G.box(G.vec(0, 0, 0), G.vec(3, 3, 3)), G.vec(7, 7, 7), G.vec(20, 20, 20)))
+    assert (tuple(grown["min"]), tuple(grown["max"])) == ((0, 0, 0), (7, 7, 7))
+    both = one(spark, G.hull(b, G.box(G.vec(0, 11, 8), G.vec(3, 20, 9))))
+    assert (tuple(both["min"]), tuple(both["max"])) == ((0, 10, 7), (6, 20, 9))
+    inner = one(spark, G.intersect(b, G.box(G.vec(0, 11, 8), G.vec(3, 20, 9))))
+    assert (tuple(inner["min"]), tuple(inner["max"])) == ((2, 11, 8), (3, 13, 9))
 
 
 def test_tags(spark):
@@ -90,10 +93,58 @@ def test_flat_histogram_passes_through(spark):
 
 
 def test_anchors(spark):
-    v = spark.createDataFrame([(7, 0, 0, 0), (7, 5, 0, 0), (8, 9, 0, 0), (8, 20, 0, 0)], "segid long, x long, y long, z long")
-    c = spark.createDataFrame([(1, 7, 8, 4, 0, 0), (2, None, 9, 0, 0, 0)], "cleft_segid long, presyn_segid long, postsyn_segid long, x long, y long, z long")
-    got = {r[0]: r[1:] for r in map(tuple, candidates.nearest_anchor(v, c).collect())}
-    assert got == {1: (5, 0, 0, 9, 0, 0), 2: (-1, -1, -1, -2, -2, -2)}
+    c = spark.createDataFrame([(1, 4, 0, 0), (1, 6, 0, 0), (2, 9, 0, 0)], "cleft_segid long, x long, y long, z long")
+    v = spark.createDataFrame([(7, 0, 0, 0), (7, 3, 0, 0), (8, 9, 1, 0), (8, 19, 0, 0)], "segid long, x long, y long, z long")
+    e = spark.createDataFrame([(1, 7, 8), (2, None, 9)], "cleft_segid long, presyn_segid long, postsyn_segid long")
+    got = {r[0]: r[1:] for r in map(tuple, anchors.place_anchors(c, v, e, (20, 20, 5), (2, 2, 2)).collect())}
+    assert got == {1: (3, 0, 0, -2, -2, -2), 2: (-1, -1, -1, -2, -2, -2)}
+    moved = {r[0]: r[1:] for r in map(tuple, anchors.offset_record(anchors.place_anchors(c, v, e, (20, 20, 5), (4, 4, 2)), (10, 0, 1)).collect())}
+    assert moved == {1: (13, 0, 1, 19, 1, 1), 2: (-1, -1, -1, -2, -2, -2)}
+
+
+def test_surfaces_of_a_sparse_volume(spark):
+    v = spark.createDataFrame([(x, y, 0, 5) for x in range(5) for y in range(5)] + [(9, 9, 0, 6)], "x int, y int, z int, id long")
+    assert voxels.surfaces(v, "id", "xy", ((0, 0, 0), (10, 10, 1))).count() == 9 + 1  # the sides towards the rest of the volume
+    assert voxels.surfaces(v.where("id = 5"), "id", "xy").count() == 0  # its border is the volume's
+
+
+def test_distances_at_the_threshold_count_as_near(spark):
+    p, q = (spark.createDataFrame([(x, 0, 0)], "x int, y int, z int") for x in (0, 3))
+    assert tuple(evaluate.distance_score(p, q, 12).first()) == (0, 0, 1) and tuple(evaluate.distance_score(p, q, 11).first()) == (1, 1, 0)
+
+
+def test_running_sums_over_ranges(spark):
+    rows = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"), F.lit(1).alias("n")).repartition(5)
+    assert {r.k: r.n for r in evaluate.cumulative(rows, "k", ["n"]).collect()} == {k: 1000 - k for k in range(1000)}
+
+
+def test_catalogue(spark, tmp_path):
+    from voxloom.sources import catalog
+
+    assert catalog.create_tables(spark, "own") == sorted(schema.TABLES)
+    grid = G.chunk_grid(spark, (20, 20, 10), (10, 10, 10))
+    catalog.fill_chunks(grid, "own")
+    catalog.create_tables(spark, "own")
+    assert spark.table("own.chunks").count() == 4 and catalog.grid_check(grid).first().complete
+    assert not catalog.grid_check(grid.where("begin_x + begin_y > 0")).first().complete
+    catalog.write_bucketed(spark.range(10), "own.numbers", 2, "id")
+    assert spark.table("own.numbers").count() == 10
+    spark.sql("DROP TABLE own.numbers")
+    catalog.drop_tables(spark, "own")
+    catalog.drop_tables(spark, "own")
+    assert not spark.catalog.databaseExists("own")
+    with pytest.raises(FileNotFoundError):
+        catalog.read_together(spark, str(tmp_path / "none"), "a")
+    for n in (3, 5):
+        tables.write_together({"a": spark.range(n)}, str(tmp_path / "v"))
+    spark.range(9).write.parquet(str(tmp_path / "v" / "v-unfinished" / "a"))
+    assert catalog.read_together(spark, str(tmp_path / "v"), "a").count() == 5
+    catalog.write_model(spark, abs, str(tmp_path / "m"))
+    assert catalog.read_model(spark, str(tmp_path / "m"))(-3) == 3
+    assert catalog.required_chunks((0, 0, 0), (5, 4, 4), (4, 4, 4), 1) == [(0, 0, 0, 0), (0, 1, 0, 0), (1, 0, 0, 0)]
+    catalog.create_volume(spark, str(tmp_path / "vol"))
+    tables.write_volume(spark.createDataFrame([(1, 1, 1, 9, "0_0_0-2_2_2")], "x long, y long, z long, val long, chunk_tag string"), str(tmp_path / "vol"))
+    assert tables.read_volume(spark, str(tmp_path / "vol"), (0, 0, 0), (2, 2, 2)).count() == 1
 
 
 def test_scorer_and_locations(spark):
@@ -134,6 +185,9 @@ def test_settings():
     assert s.volume == (20, 20, 25) and s.size_threshold == 5
     with pytest.raises(ValueError):
         Settings((1, 1, 1), (0, 1, 1))
+    for wrong in ({"block": (4, 5, 5)}, {"patch": (11, 5, 5)}):
+        with pytest.raises(ValueError):
+            Settings((20, 20, 20), (10, 10, 10), **wrong)
 
 
 def test_stream_appends_once(spark, tmp_path):

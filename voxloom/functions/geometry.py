@@ -100,6 +100,92 @@ def centered_box(at: Column, size: Column) -> Column:
     return box(low, zip_vec(low, size, lambda p, s: p + s))
 
 
+def transpose(v: Column) -> Column:
+    """The vector with its components in reverse order."""
+    return vec(v["z"], v["y"], v["x"])
+
+
+def _with(b: Column | int, k: str) -> Column:
+    return b[k] if isinstance(b, Column) else F.lit(b)
+
+
+def true_divide(a: Column, b: Column | int) -> Column:
+    return vec(*((a[k] / _with(b, k)) for k in "xyz"))
+
+
+def floor_divide(a: Column, b: Column | int) -> Column:
+    return vec(*(floor_div(a[k], _with(b, k)) for k in "xyz"))
+
+
+def modulo(a: Column, b: Column | int) -> Column:
+    """Remainders with the divisor's sign, so that floor_divide(a, b) * b + modulo(a, b) is a."""
+    return vec(*((a[k] - floor_div(a[k], _with(b, k)) * _with(b, k)) for k in "xyz"))
+
+
+def power(a: Column, b: Column | int) -> Column:
+    return vec(*(F.pow(a[k], _with(b, k)) for k in "xyz"))
+
+
+def shift_left(a: Column, bits: int) -> Column:
+    return map_vec(a, lambda v: F.shiftleft(v.cast("long"), bits))
+
+
+def shift_right(a: Column, bits: int) -> Column:
+    return map_vec(a, lambda v: F.shiftright(v.cast("long"), bits))
+
+
+def bit_and(a: Column, b: Column | int) -> Column:
+    return vec(*(a[k].bitwiseAND(_with(b, k)) for k in "xyz"))
+
+
+def bit_or(a: Column, b: Column | int) -> Column:
+    return vec(*(a[k].bitwiseOR(_with(b, k)) for k in "xyz"))
+
+
+def bit_xor(a: Column, b: Column | int) -> Column:
+    return vec(*(a[k].bitwiseXOR(_with(b, k)) for k in "xyz"))
+
+
+def tuple_text(v: Column) -> Column:
+    """x,y,z"""
+    return F.concat_ws(",", *(v[k].cast("string") for k in "xyz"))
+
+
+def parse_tuple(text: Column) -> Column:
+    """The integers of a comma-separated text."""
+    return F.transform(F.split(text, ","), lambda x: F.trim(x).cast("long"))
+
+
+def max_face_shape(v: Column) -> Column:
+    """The two greater components, in order."""
+    return F.slice(F.array_sort(F.array(v["x"], v["y"], v["z"])), 2, 2)
+
+
+def containing_box(at: Column, size: Column, volume: Column) -> Column:
+    """A box of that size around a place, moved into [0, volume)."""
+    return shift_to_bounds(centered_box(at, size), volume)
+
+
+def bounds_1d(stop: Column | int, step: int, start: int = 0) -> Column:
+    """Begins and ends of the steps from start to stop: ends lie at multiples of step, the last at stop."""
+    first = start // step
+    last = F.greatest(F.lit(first), floor_div(_col(stop) + (step - 1), step) - 1)
+    low = lambda k: F.greatest(F.lit(start).cast("long"), k.cast("long") * step)
+    return F.transform(F.sequence(F.lit(first).cast("long"), last.cast("long")), lambda k: F.struct(low(k).alias("begin"), F.least(_col(stop).cast("long"), k * step + step).alias("end")))
+
+
+def closest_chunk_boundary(at: Column, offset: Column, chunk: Column) -> Column:
+    """The chunk corner nearest to a place; halves go to the even corner."""
+    return vec(*((F.bround((at[k] - offset[k]) / chunk[k]).cast("long") * chunk[k] + offset[k]) for k in "xyz"))
+
+
+def num_faces(volume: Column, chunk: Column, mip: int = 0) -> Column:
+    """Faces between chunks of a volume; mip halves x and y of both that often."""
+    halve = {"x": 1 << mip, "y": 1 << mip, "z": 1}
+    n = [F.greatest(F.lit(1).cast("long"), F.ceil(floor_div(volume[k], halve[k]) / floor_div(chunk[k], halve[k])).cast("long")) for k in "xyz"]
+    return (n[0] - 1) * n[1] * n[2] + n[0] * (n[1] - 1) * n[2] + n[0] * n[1] * (n[2] - 1)
+
+
 def shift_to_bounds(b: Column, volume: Column) -> Column:
     """b moved into [0, volume)."""
     by = vec(*(F.greatest(F.lit(0), -b["min"][k]) - F.greatest(F.lit(0), b["max"][k] - volume[k]) for k in "xyz"))

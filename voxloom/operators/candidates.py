@@ -1,14 +1,14 @@
-"""Candidate partners: terminals, nearest voxels, overlapping pairs, anchors."""
+"""Candidate partners: terminals, nearest voxels, overlapping pairs."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .edges import NEIGHBOURS
 from ..functions.geometry import scaled_distance2
+from ..schema import POST, PRE
+from . import overlap, voxels
+from .edges import NEIGHBOURS
 
 
 def filter_terminals(overlaps: DataFrame, least: int) -> DataFrame:
@@ -52,35 +52,35 @@ def overlapping_pairs(overlaps: DataFrame, above: int, same: bool = True) -> Dat
     return out if same else out.where("pre != post")
 
 
-def nearest_anchor(voxels: DataFrame, clefts: DataFrame, resolution=(4, 4, 40), rounds: int = 8) -> DataFrame:
-    """Anchor points of clefts: cleft_segid, pre_x .. post_z.
+def label_candidates(clefts: DataFrame, segments: DataFrame, k: int, above: int, low: tuple[int, int], high: tuple[int, int], same: bool = True) -> DataFrame:
+    """overlapping_pairs() of clefts (x, y, z, cleft) grown by k with segments (x, y, z, segid)."""
+    grown = voxels.dilate(clefts, "cleft", k, low, high) if k else clefts
+    both = grown.select("x", "y", "z", "cleft").join(segments, ["x", "y", "z"])
+    return overlapping_pairs(overlap.count(both, "cleft", "segid"), above, same)
+
+
+def terminal_segments(terminals: DataFrame, segments: DataFrame, least: int) -> DataFrame:
+    """terminal, segid: the segment under each terminal's last voxel (by x, y, z), if it is not 0 and has least voxels at least."""
+    size = voxels.sizes(segments, "segid").where(F.col("size") >= least).select("segid")
+    own = terminals.where("terminal != 0").join(segments, ["x", "y", "z"]).groupBy("terminal").agg(F.max_by("segid", F.struct("x", "y", "z")).alias("segid"))
+    return own.where("segid != 0").join(size, "segid", "left_semi")
+
+
+def terminal_candidates(pre: DataFrame, post: DataFrame, segments: DataFrame, least: int, distance: float, separation: float, resolution=(4, 4, 40), same: bool = False) -> DataFrame:
+    """Pairs of terminals that may be a synapse: pre_terminal, post_terminal, their segments, and the pre voxel nearest to the other.
 
-    voxels: segid, x, y, z. clefts: cleft_segid, presyn_segid, postsyn_segid, x, y, z. From the
-    cleft's place, the closest point of one partner and of the other are sought in turn until
-    neither moves. -1: no such partner (null id), -2: its voxels are missing. Each cleft's partners
-    are gathered with it, bounded by the voxels of two segments of a chunk.
+    pre, post: x, y, z, terminal. Terminals on small segments go; centroids must be nearer than
+    distance and voxels nearer than separation; pairs on one segment go unless same.
     """
-    wanted = clefts.select("cleft_segid", F.explode(F.array(F.struct(F.lit("pre").alias("side"), F.col("presyn_segid").alias("segid")), F.struct(F.lit("post").alias("side"), F.col("postsyn_segid").alias("segid")))).alias("w")).select("cleft_segid", "w.side", "w.segid")
-    near = wanted.join(voxels, "segid").select(F.col("cleft_segid").alias("near_id"), "side", "x", "y", "z")
-    scale = np.array(resolution, float)
-
-    def place(key: tuple, cleft: pd.DataFrame, vox: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, c in cleft.iterrows():
-            sets = {s: vox.loc[vox["side"] == s, ["x", "y", "z"]].sort_values(["x", "y", "z"]).to_numpy() for s in ("pre", "post")}
-            at = {s: c[["x", "y", "z"]].to_numpy(float) for s in sets}
-            for _ in range(rounds):
-                before = {s: v.copy() for s, v in at.items()}
-                for s, other in (("pre", "post"), ("post", "pre")):
-                    if len(sets[s]):
-                        at[s] = sets[s][np.argmin((((sets[s] - at[other]) * scale) ** 2).sum(1))].astype(float)
-                if all((at[s] == before[s]).all() for s in at):
-                    break
-            row = [int(c["cleft_segid"])]
-            for s, partner in (("pre", "presyn_segid"), ("post", "postsyn_segid")):
-                row += [-1] * 3 if pd.isna(c[partner]) else [int(v) for v in at[s]] if len(sets[s]) else [-2] * 3
-            out.append(row)
-        return pd.DataFrame(out, columns=["cleft_segid", "pre_x", "pre_y", "pre_z", "post_x", "post_y", "post_z"])
-
-    schema = "cleft_segid long, pre_x long, pre_y long, pre_z long, post_x long, post_y long, post_z long"
-    return clefts.groupBy("cleft_segid").cogroup(near.groupBy("near_id")).applyInPandas(place, schema)
+    sides = []
+    for terminals in (pre, post):
+        found = terminal_segments(terminals, segments, least)
+        sides.append((found, terminals.join(found, "terminal").select("x", "y", "z", F.col("terminal").alias("id"))))
+    centres = [voxels.describe(v, "id").select("id", *(F.col(f"centroid_{a}").alias(a) for a in "xyz")) for _, v in sides]
+    pairs = two_sets_within(*centres, distance, resolution)
+    near = by_separation(pairs, sides[0][1], sides[1][1], separation, resolution)
+    out = near.withColumnsRenamed({"id1": "pre_terminal", "id2": "post_terminal"})
+    for (found, _), side, partner in zip(sides, ("pre", "post"), (PRE, POST), strict=True):
+        out = out.join(found.select(F.col("terminal").alias(f"{side}_terminal"), F.col("segid").alias(partner)), f"{side}_terminal")
+    out = out.select("pre_terminal", "post_terminal", PRE, POST, "x", "y", "z")
+    return out if same else out.where(F.col(PRE) != F.col(POST))

@@ -27,8 +27,8 @@ def to_segments(segs: DataFrame, edges: DataFrame, key: str = SEGMENT) -> DataFr
     return segs.join(edges.drop("size"), key)
 
 
-def near_pairs(rows: DataFrame, distance: float, group: list[str], key: str = SEGMENT, at: list[str] | None = None, resolution=RESOLUTION) -> DataFrame:
-    """Pairs (id1 < id2) of one group nearer than distance.
+def near_pairs(rows: DataFrame, distance: float, group: list[str], key: str = SEGMENT, at: list[str] | None = None, resolution=RESOLUTION, inclusive: bool = False) -> DataFrame:
+    """Pairs (id1 < id2) of one group nearer than distance (or, inclusive, at most that far).
 
     Positions are hashed to cells of that width; one side is given to the 27 cells around, so the
     join is on group and cell and a large group spreads over its cells.
@@ -40,7 +40,8 @@ def near_pairs(rows: DataFrame, distance: float, group: list[str], key: str = SE
     move = F.explode(F.array(*[F.struct(*(F.lit(v).alias(f"d{k}") for k, v in enumerate(m))) for m in NEIGHBOURS]))
     two = rows.select(F.col(key).alias("id2"), *group, *(F.col(c).alias(f"__b{k}") for k, c in enumerate(at)), *(c.alias(f"__e{k}") for k, c in enumerate(cells)), move.alias("m"))
     two = two.select("id2", *group, "__b0", "__b1", "__b2", *((F.col(f"__e{k}") + F.col(f"m.d{k}")).alias(f"__c{k}") for k in range(3)))
-    near = scaled_distance2([F.col(f"__a{k}") for k in range(3)], [F.col(f"__b{k}") for k in range(3)], resolution) < distance * distance
+    far = scaled_distance2([F.col(f"__a{k}") for k in range(3)], [F.col(f"__b{k}") for k in range(3)], resolution)
+    near = far <= distance * distance if inclusive else far < distance * distance
     return one.join(two, [*group, "__c0", "__c1", "__c2"]).where((F.col("id1") < F.col("id2")) & near).select("id1", "id2")
 
 
@@ -52,7 +53,9 @@ def duplicate_map(full: DataFrame, distance: float, group: tuple[str, ...] = (PR
 
 def merge_duplicates(segs: DataFrame, edges: DataFrame, distance: float, least: int = 0, resolution=RESOLUTION) -> tuple[DataFrame, DataFrame]:
     """Full rows with duplicates merged and small ones dropped, and the id map of both steps."""
-    full = to_segments(segs, edges)
+    from ..storage import written
+
+    full = written(to_segments(segs, edges), "full")  # read for the pairs and for the merge
     found = duplicate_map(full, distance, resolution=resolution)
     merged = segments.merge(full, found, truncate=False, others=[c for c in edges.columns if c not in (SEGMENT, "size")])
     kept, dropped = idmaps.by_size(merged, least)

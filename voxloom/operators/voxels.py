@@ -51,6 +51,11 @@ def apply_mask(voxels: DataFrame, mask: DataFrame) -> DataFrame:
     return voxels.join(mask.select("x", "y", "z"), ["x", "y", "z"], "left_semi")
 
 
+def pull_ids(places: DataFrame, voxels: DataFrame, column: str, at: list[str], out: str) -> DataFrame:
+    """places with the id at their coordinates, as out; places without a voxel go."""
+    return places.join(voxels.select(*(F.col(a).alias(c) for a, c in zip("xyz", at, strict=True)), F.col(column).alias(out)), at)
+
+
 def components(voxels: DataFrame, base: str | None = None, chunk: list[str] | None = None) -> DataFrame:
     """6-connected components: voxels with label, the least (z, y, x)-linear index of the component.
 
@@ -117,14 +122,24 @@ def upsample(voxels: DataFrame, column: str) -> DataFrame:
     return voxels.select("x", "y", "z", column, move.alias("m")).select((F.col("x") * 2 + F.col("m.dx")).cast("long").alias("x"), (F.col("y") * 2 + F.col("m.dy")).cast("long").alias("y"), "z", column)
 
 
-def surfaces(voxels: DataFrame, column: str, axes: str = "xyz") -> DataFrame:
-    """Voxels of a dense volume whose id differs from a neighbour's along an axis; the volume's border is no neighbour."""
-    differs = F.lit(False)
-    for a in axes:
-        line = Window.partitionBy(*[k for k in "xyz" if k != a]).orderBy(a)
-        for other in (F.lag(column).over(line), F.lead(column).over(line)):
-            differs = differs | F.coalesce(other != F.col(column), F.lit(False))
-    return voxels.withColumn("__edge", differs).where(F.col("__edge") & (F.col(column) != 0)).drop("__edge")
+def surfaces(voxels: DataFrame, column: str, axes: str = "xyz", volume: tuple[tuple[int, int, int], tuple[int, int, int]] | None = None) -> DataFrame:
+    """Voxels whose id differs from a neighbour's along an axis; an absent neighbour is background.
+
+    volume: low and high corner of the volume, beyond which there is no neighbour; by default the
+    hull of the voxels given (id 0 included).
+    """
+    if volume is None:
+        ends = voxels.agg(*(f(a) for a in "xyz" for f in (F.min, F.max))).first()
+        volume = (tuple(ends[0::2]), tuple(1 + (v if v is not None else -1) for v in ends[1::2]))
+    steps = [F.struct(*(F.lit(d if k == a else 0).alias(f"d{k}") for k in "xyz")) for a in axes for d in (-1, 1)]
+    own = voxels.where(F.col(column) != 0)
+    move = own.select("x", "y", "z", column, F.explode(F.array(*steps)).alias("s"))
+    there = move.select("x", "y", "z", column, *((F.col(k) + F.col(f"s.d{k}")).alias(f"__{k}") for k in "xyz"))
+    for k, low, high in zip("xyz", *volume, strict=True):
+        there = there.where((F.col(f"__{k}") >= low) & (F.col(f"__{k}") < high))
+    other = own.select(*(F.col(k).alias(f"__{k}") for k in "xyz"), F.col(column).alias("__id"))
+    edge = there.join(other, ["__x", "__y", "__z"], "left").where(F.coalesce("__id", F.lit(0)) != F.col(column))
+    return voxels.join(edge.select("x", "y", "z").distinct(), ["x", "y", "z"], "left_semi").select(voxels.columns)
 
 
 def faces(voxels: DataFrame, column: str, chunk: tuple[int, int, int]) -> DataFrame:

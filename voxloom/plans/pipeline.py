@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from ..functions.geometry import chunk_tag
 from ..functions.hashing import bucket, partner_bucket
 from ..operators import edges as E
-from ..operators import idmaps, overlap, segments
+from ..operators import anchors, idmaps, inference, overlap, segments
 from ..operators import voxels as V
 from ..schema import POST, PRE, SEGMENT
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Parsed settings of a run; shapes are checked as they are set."""
+    """Parsed settings of a run; shapes are checked as they are set: positive, chunks of whole blocks, patches within chunks."""
 
     volume: tuple[int, int, int]
     chunk: tuple[int, int, int]
@@ -27,10 +27,17 @@ class Settings:
     size_threshold: int = 0
     duplicate_distance: float = 1000.0
     buckets: int = 1
+    block: tuple[int, int, int] = (1, 1, 1)
+    patch: tuple[int, int, int] = (1, 1, 1)
+    storage: str = ""
 
     def __post_init__(self):
         if any(c <= 0 or v <= 0 for c, v in zip(self.chunk, self.volume, strict=True)):
             raise ValueError("shapes must be positive")
+        if any(c % b for c, b in zip(self.chunk, self.block, strict=True)):
+            raise ValueError("a chunk must be whole storage blocks")
+        if any(p > c for p, c in zip(self.patch, self.chunk, strict=True)):
+            raise ValueError("a patch must fit into a chunk")
 
     @classmethod
     def read(cls, text: str) -> Settings:
@@ -41,7 +48,7 @@ class Settings:
         parser.read_string(text)
         flat = {k: v for s in parser.sections() for k, v in parser[s].items()}
         shape = lambda k: tuple(int(x) for x in flat[k].split(","))
-        kinds = {"volume": shape, "chunk": shape, "offset": shape, "resolution": shape, "threshold": lambda k: float(flat[k]), "size_threshold": lambda k: int(flat[k]), "duplicate_distance": lambda k: float(flat[k]), "buckets": lambda k: int(flat[k])}
+        kinds = {"volume": shape, "chunk": shape, "offset": shape, "resolution": shape, "threshold": lambda k: float(flat[k]), "size_threshold": lambda k: int(flat[k]), "duplicate_distance": lambda k: float(flat[k]), "buckets": lambda k: int(flat[k]), "block": shape, "patch": shape, "storage": lambda k: flat[k]}
         return cls(**{k: f(k) for k, f in kinds.items() if k in flat})
 
 
@@ -95,3 +102,20 @@ def remap(labelled: DataFrame, maps: list[DataFrame], column: str) -> DataFrame:
     for m in maps[1:]:
         whole = idmaps.compose(whole, m, reused_ids=True)
     return idmaps.apply(labelled, whole, column).where(F.col(column) != 0)
+
+
+def edge_task(voxels: DataFrame, id_map: DataFrame | None, network, shape: tuple[int, int, int], volume: tuple[int, int, int], k: int, buckets: int, kind: str = "centroid", **options) -> DataFrame:
+    """Edges of the clefts of a chunk: records with cleft size, partner hash and cleft hash.
+
+    voxels: x, y, z, val, cleft, segid. id_map: of segment ids, applied first. network, shape, k: as in
+    inference.infer_weights(). options: as in inference.infer_edges().
+    """
+    own = idmaps.apply(voxels, id_map.select("src_id", "dst_id"), "segid") if id_map is not None else voxels
+    where = inference.locations(own, "cleft", kind, shape, volume).withColumnRenamed("cleft", SEGMENT)
+    found = inference.infer_edges(inference.infer_weights(own, where, network, shape, volume, k), **options)
+    return hashed_edges(segments.add_sizes(found, own, "cleft"), buckets)
+
+
+def anchor_task(clefts: DataFrame, segs: DataFrame, edges: DataFrame, volume: tuple[int, int, int], offset: tuple[int, int, int] = (0, 0, 0), **options) -> DataFrame:
+    """Anchors of the clefts of a chunk, moved by its offset."""
+    return anchors.offset_record(anchors.place_anchors(clefts, segs, edges, volume, **options), offset)

@@ -329,18 +329,22 @@ def upsample2d(v):
 
 
 def _surface_sql(axes: str) -> str:
-    parts = [f"coalesce({f}(seg_id) OVER (PARTITION BY {', '.join(k for k in 'xyz' if k != a)} ORDER BY {a}) <> seg_id, false)" for a in axes for f in ("lag", "lead")]
-    return f"SELECT x, y, z, seg_id FROM (SELECT x, y, z, seg_id, {' OR '.join(parts)} AS e FROM voxels) WHERE e AND seg_id <> 0"
+    steps = ", ".join(f"({', '.join(str(d) if k == a else '0' for k in 'xyz')})" for a in axes for d in (-1, 1))
+    return f"""SELECT DISTINCT v.x, v.y, v.z, v.seg_id FROM voxels v CROSS JOIN (VALUES {steps}) s(dx, dy, dz) LEFT JOIN voxels n ON n.x = v.x + dx AND n.y = v.y + dy AND n.z = v.z + dz
+WHERE v.seg_id <> 0 AND v.x + dx BETWEEN 0 AND 19 AND v.y + dy BETWEEN 0 AND 19 AND v.z + dz BETWEEN 0 AND (SELECT max(z) FROM voxels) AND coalesce(n.seg_id, 0) <> v.seg_id"""
+
+
+_EXTENT = lambda v: ((0, 0, 0), (20, 20, v.agg(F.max("z")).first()[0] + 1))
 
 
 @_query("voxels", _surface_sql("xyz"))
 def surfaces3d(v):
-    return voxels.surfaces(v.select("x", "y", "z", "seg_id"), "seg_id")
+    return voxels.surfaces(v.where("seg_id != 0").select("x", "y", "z", "seg_id"), "seg_id", volume=_EXTENT(v))
 
 
 @_query("voxels", _surface_sql("xy"))
 def surfaces2d(v):
-    return voxels.surfaces(v.select("x", "y", "z", "seg_id"), "seg_id", "xy")
+    return voxels.surfaces(v.where("seg_id != 0").select("x", "y", "z", "seg_id"), "seg_id", "xy", _EXTENT(v))
 
 
 @_query("voxels", """WITH m AS (SELECT x, y, z, seg_id FROM voxels WHERE val > 80 AND seg_id <> 0), o AS (SELECT dx, dy, abs(dx) + abs(dy) AS d FROM (SELECT unnest(range(-2, 3)) AS dx), (SELECT unnest(range(-2, 3)) AS dy) WHERE abs(dx) + abs(dy) <= 2),
@@ -412,9 +416,9 @@ def overlap_ignore(v):
 
 
 @_query("voxels", """WITH b AS (SELECT CAST(floor(val) AS BIGINT) AS s, gt_id <> 0 AND base_id <> 0 AS hit FROM voxels),
-g AS (SELECT s, count(*) FILTER (hit) AS h, count(*) AS c FROM b GROUP BY 1) SELECT s AS score, CAST(sum(h) OVER w AS BIGINT) AS tp, CAST(sum(c) OVER w - sum(h) OVER w AS BIGINT) AS fp, CAST(10000 - sum(h) OVER w AS BIGINT) AS fn FROM g WINDOW w AS (ORDER BY s DESC)""")
+g AS (SELECT s, count(*) FILTER (hit) AS h, count(*) AS c FROM b GROUP BY 1) SELECT s AS score, CAST(sum(h) OVER w AS BIGINT) AS tp, CAST(sum(c) OVER w - sum(h) OVER w AS BIGINT) AS fp, CAST((SELECT count(*) FROM voxels WHERE gt_id <> 0) - sum(h) OVER w AS BIGINT) AS fn FROM g WINDOW w AS (ORDER BY s DESC)""")
 def score_curve(v):
-    return evaluate.curve(v.select(F.floor("val").cast("long").alias("score"), ((F.col("gt_id") != 0) & (F.col("base_id") != 0)).alias("hit")), 10000)
+    return evaluate.curve(v.select(F.floor("val").cast("long").alias("score"), ((F.col("gt_id") != 0) & (F.col("base_id") != 0)).alias("hit")), v.where("gt_id != 0"))
 
 
 @_query("voxels", """WITH b AS (SELECT base_id AS a, seg_id % 11 AS b, gt_id <> 0 AS hit FROM voxels), u AS (SELECT DISTINCT a FROM b), w AS (SELECT DISTINCT b FROM b)
@@ -430,11 +434,11 @@ def voxel_threshold_curve(v):
 
 
 @_query("voxels", """WITH s AS (SELECT seg_id AS row_id, count(*) AS size FROM voxels WHERE seg_id <> 0 GROUP BY 1), o AS (SELECT seg_id AS row_id, gt_id AS col_id, count(*) AS vals FROM voxels WHERE seg_id <> 0 AND gt_id <> 0 GROUP BY 1, 2 HAVING count(*) >= 20), t(threshold) AS (VALUES (20), (40), (60))
-SELECT CAST(threshold AS BIGINT) AS threshold, count(DISTINCT s.row_id) AS n_pred, count(DISTINCT s.row_id) FILTER (col_id IS NOT NULL) AS tp_pred, count(DISTINCT col_id) AS tp_label, 500 AS n_label FROM t JOIN s ON size >= threshold LEFT JOIN o ON s.row_id = o.row_id GROUP BY 1""")
+SELECT CAST(threshold AS BIGINT) AS threshold, count(DISTINCT s.row_id) AS n_pred, count(DISTINCT s.row_id) FILTER (col_id IS NOT NULL) AS tp_pred, count(DISTINCT col_id) AS tp_label, (SELECT count(DISTINCT gt_id) FROM voxels WHERE gt_id <> 0) AS n_label FROM t JOIN s ON size >= threshold LEFT JOIN o ON s.row_id = o.row_id GROUP BY 1""")
 def size_threshold_tuning(v):
     hits = overlap.count(v, "seg_id", "gt_id").where("vals >= 20").select("row_id", "col_id")
     sizes = voxels.sizes(v, "seg_id").withColumnRenamed("seg_id", "row_id")
-    return evaluate.size_tuning(sizes, hits, v.sparkSession.createDataFrame([(20,), (40,), (60,)], "threshold long"), 500)
+    return evaluate.size_tuning(sizes, hits, [20, 40, 60], v.where("gt_id != 0").select("gt_id").distinct())
 
 
 _CLAMP = """WITH h AS (SELECT z, level, CASE WHEN level = 0 THEN 0 ELSE n END AS n FROM histograms), c AS (SELECT z, level, (sum(n) OVER (PARTITION BY z ORDER BY level))::DOUBLE / nullif(sum(n) OVER (PARTITION BY z), 0)::DOUBLE AS f FROM h),
@@ -478,13 +482,15 @@ def separation_filter(v):
 
 
 @_query("voxels", """WITH p AS (SELECT x, y, z FROM voxels WHERE val > 120), l AS (SELECT x, y, z FROM voxels WHERE val > 100 AND base_id < 3),
-near AS (SELECT p.x, p.y, p.z, l.x AS lx, l.y AS ly, l.z AS lz FROM p JOIN l ON abs(p.z - l.z) <= 1 AND pow((p.x-l.x)*4, 2) + pow((p.y-l.y)*4, 2) + pow((p.z-l.z)*40, 2) < 144),
+near AS (SELECT p.x, p.y, p.z, l.x AS lx, l.y AS ly, l.z AS lz FROM p JOIN l ON abs(p.z - l.z) <= 1 AND pow((p.x-l.x)*4, 2) + pow((p.y-l.y)*4, 2) + pow((p.z-l.z)*40, 2) <= 144),
 a AS (SELECT count(DISTINCT (x, y, z)) AS p, count(DISTINCT (lx, ly, lz)) AS l FROM near) SELECT (SELECT count(*) FROM p) - a.p AS fp, (SELECT count(*) FROM l) - a.l AS fn, a.p AS tp FROM a""")
 def distance_score(v):
     return evaluate.distance_score(v.where("val > 120"), v.where("val > 100 and base_id < 3"), 12)
 
 
-@_query("voxels", None)
+@_query("voxels", """WITH m AS (SELECT x, y, z, (CAST(z AS BIGINT) * 1048576 + y) * 1048576 + x AS id FROM voxels WHERE val > 80), e AS (SELECT a.id AS s, b.id AS t FROM m a JOIN m b ON abs(a.x-b.x) + abs(a.y-b.y) + abs(a.z-b.z) = 1 AND b.x BETWEEN a.x-1 AND a.x+1),
+r(id, lab) AS (SELECT id, id FROM m UNION SELECT e.t, r.lab FROM r JOIN e ON e.s = r.id), l AS (SELECT id, min(lab) AS lab FROM r GROUP BY id)
+SELECT x, y, z, lab + 1 AS label FROM l JOIN m USING (id) WHERE lab IN (SELECT lab FROM l GROUP BY 1 HAVING count(*) >= 2)""", recursive=True)
 def chunked_components(v):
     """The whole plan over chunks: label by chunk, match faces, merge; its result is the unchunked one."""
     from .plans.pipeline import Settings, chunk_components, merge_components, remap
@@ -493,3 +499,6 @@ def chunked_components(v):
     labelled, found, info = chunk_components(v.select("x", "y", "z", "val"), s)
     labelled, found, info = written(labelled, "labelled"), written(found, "faces"), written(info, "info")
     return remap(labelled.select("x", "y", "z", "label"), [merge_components(found, info, s)[1]], "label")
+
+
+from . import queries_more  # noqa: E402, F401  registers the rest

@@ -28,7 +28,13 @@ OVERLAPS = T.StructType(_long("row_id", "col_id", "vals"))
 CONTINUATION_GRAPH = T.StructType(_long("graph_id1", "graph_id2"))
 TIMINGS = T.StructType([T.StructField("task_name", T.StringType()), T.StructField("timing_tag", T.StringType()), *_double("duration")])
 
+FACES = T.StructType([CHUNK_TAG, *_long("fx", "fy", "fz"), T.StructField("axis", T.IntegerType()), T.StructField("hi_face", T.BooleanType()), *_long("i", "j", "segid")])
+FULL = T.StructType([*SEGMENTS.fields, *_long(PRE, POST, *PRE_AT, *POST_AT)])
+CHUNKS = T.StructType([*_long(*(f"{n}_{a}" for n in ("begin", "end") for a in AXES)), CHUNK_TAG])
+CHUNK_ID_MAP = T.StructType([*ID_MAP.fields, T.StructField("dst_id_hash", T.LongType()), CHUNK_TAG])
+
 TABLES = {
+    "chunks": CHUNKS, "contin_faces": FACES, "full_info": FULL, "chunked_seg_merge_map": CHUNK_ID_MAP,
     "chunk_segs": CHUNK_SEGMENTS, "merged_segs": SEGMENTS, "chunk_edges": CHUNK_EDGES, "merged_edges": EDGES, "seg_merge_map": ID_MAP,
     "dup_merge_map": ID_MAP, "chunk_overlaps": T.StructType([*OVERLAPS.fields, CHUNK_TAG]), "max_overlaps": OVERLAPS, "contin_graph": CONTINUATION_GRAPH, "timing_log": TIMINGS,
 }
