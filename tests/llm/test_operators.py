@@ -421,9 +421,20 @@ def test_op6_gives_the_ids_of_sentencepiece(spark):
 
 
 def test_op1_finds_planted_licenses(spark):
-    rows = [(1, "some prose\nReleased under the MIT license!\nmore", "en", "s", 0), (2, "plain prose of nothing", "en", "s", 0), (3, licenses.TEMPLATES[1][1].replace("express", "expressed"), "en", "s", 0), (4, None, "en", "s", 0), (5, "", "en", "s", 0)]
-    got = {r.doc_id: (r.license, r.line) for r in licenses.scan(spark.createDataFrame(rows, DOCS)).collect()}
-    assert got == {1: ("MIT", 1), 2: (None, -1), 3: ("Apache-2.0", 0), 4: (None, -1), 5: (None, -1)}
+    import textwrap
+
+    mit = max((t for n, t in licenses.SHORT if n == "MIT"), key=len)
+    apache = max((t for n, t in licenses.SHORT if n == "Apache-2.0"), key=len)
+    prose = "\n".join(f"line {i} of plain prose that holds nothing else at all" for i in range(40))
+    full = dict(licenses.TEMPLATES)
+    rows = [
+        (1, "some prose\nReleased under the MIT license!\nmore"), (2, "plain prose of nothing"), (3, apache.replace("express", "expressed")), (4, None), (5, ""),
+        (6, prose + "\n\n" + textwrap.fill(mit, 60) + "\n\n" + prose), (7, "# " + textwrap.fill(apache, 50).replace("\n", "\n# ") + "\ncode\n" * 30), (8, full["GPL-3.0"]),
+        (9, (prose + "\n") * 100 + full["MPL-2.0"] + prose), (10, mit), (11, "Released under the MIT License.\nReleased under the MIT License."), (12, "\n".join(["Released under the MIT License."] * 3000)),
+    ]
+    got = {r.doc_id: (r.license, r.line, r.n_lines) for r in licenses.scan(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)).collect()}
+    assert {i: got[i] for i in (1, 2, 3, 4, 5, 10, 11, 12)} == {1: ("MIT", 1, 1), 2: (None, -1, 0), 3: ("Apache-2.0", 0, 1), 4: (None, -1, 0), 5: (None, -1, 0), 10: ("MIT", 0, 1), 11: ("MIT", 0, 1), 12: ("MIT", 0, 1)}
+    assert got[6] == ("MIT", 41, len(textwrap.wrap(mit, 60))) and got[7][:2] == ("Apache-2.0", 0) and got[8][0] == "GPL-3.0" and got[9][0] == "MPL-2.0" and got[9][1] >= 4000
 
 
 PAGES = "page_id long, url string, html string, host int"
