@@ -124,14 +124,15 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     Two documents link when 100 * shared >= percent * union. Documents of equal sets are one record
     (a 64-bit key of the set) throughout and share its component. A null or empty text has the empty
     set and only itself. A row with a null id is returned with a null component_id and takes no part.
-    Rows of a repeated id are returned each. Returns doc_id, n_shingles, component_id, set_key.
+    Rows of a repeated id are returned each. Returns doc_id, n_shingles, component_id, set_key, text_key (a hash of the text).
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def measure(batches):
         for batch, part, h, first, keys in _sets(batches, words):
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.start, part.stop - part.start), pa.array(np.diff(first), pa.int64()), pa.array(keys.view(np.int64)), pa.array(linking.sketches(h, first), pa.binary())], ["doc_id", "n_shingles", "rid", "sketch"])
+            own = [batch.column(c).slice(part.start, part.stop - part.start) for c in ("doc_id", "text_key")]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(np.diff(first), pa.int64()), pa.array(keys.view(np.int64)), pa.array(linking.sketches(h, first), pa.binary())], ["doc_id", "text_key", "n_shingles", "rid", "sketch"])
 
     def sign(batches):
         seen: set[int] = set()  # sets of this partition: copies are signed once
@@ -144,7 +145,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
             n = np.where(new, np.diff(first), 0)
             yield layouts(percent).sign(h[np.repeat(new, np.diff(first))], np.concatenate([[0], np.cumsum(n)]), keys)
 
-    base = storage.written(rows.mapInArrow(measure, f"doc_id {kind}, n_shingles long, rid long, sketch binary"), "sets")
+    base = storage.written(rows.mapInArrow(measure, f"doc_id {kind}, text_key long, n_shingles long, rid long, sketch binary"), "sets")
     known = rows.where(F.col("doc_id").isNotNull())
     buckets = min(1 << 16, max(16, storage.scan_partitions(docs)))
     met = linking.meet(known, sign, buckets, "met")
@@ -184,14 +185,20 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     smallest = rooted.where("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("smallest"))
     out = rooted.join(smallest, "root", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("smallest"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("rid").alias("set_key"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("rid").alias("set_key"), "text_key")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents, one of each linked group: the one with the smallest id. Rows with a null id stay."""
-    linked = link(docs, id_col, text_col).select(F.col("doc_id").alias("__id"), "component_id").distinct()
-    gone = linked.where("__id != component_id").select("__id")
-    return docs.join(gone, docs[id_col] == gone["__id"], "left_anti").select(docs.columns)
+    """Documents, one of each linked group: the one with the smallest id, in the columns of docs.
+
+    Rows with a null id, and texts without a word, stay. Rows that repeat both id and text stay or go
+    together; of one id with several texts each is judged by its own links. An empty table gives an
+    empty result.
+    """
+    own_id, key = K.unused(docs.columns, "id", "key")
+    gone = link(docs, id_col, text_col).where("doc_id != component_id").select(F.col("doc_id").alias(own_id), F.col("text_key").alias(key)).distinct()
+    on = (docs[id_col] == gone[own_id]) & (F.xxhash64(docs[text_col].cast("string")) == gone[key])
+    return docs.join(gone, on, "left_anti").select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
