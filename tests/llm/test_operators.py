@@ -544,3 +544,47 @@ def test_clashing_columns_nulls_and_repeats(spark, run):
     names = "doc_id long, text string, source string, rid long, size long, removed string, key string, bucket int, lost int, host string, n long"
     rows = [(1, "a b c d e f g h i j", "s", *[None] * 8), (1, "a b c d e f g h i j", "s", *[None] * 8), (None, None, None, *[None] * 8), (2, "", "s", *[None] * 8)]
     assert run(spark.createDataFrame(rows, names)).count() == 4
+
+
+def thue_morse(n):
+    a = "a"
+    while len(a) < n:
+        a += "".join("b" if c == "a" else "a" for c in a)
+    return a[:n], "".join("b" if c == "a" else "a" for c in a[:n])
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_that_collide_under_polynomial_hashes(spark, n):
+    """The pair that has equal hashes modulo 2^64 to any base: as words, as lines and as lines of words."""
+    a, b = thue_morse(n)
+    words = K.words(K.Texts.of(pa.array([f"{a} {b}"])), True).hash
+    assert words[0] != words[1]
+    own = K.Texts.of(pa.array([f"{a}\n{b}", " ".join(a) + "\n" + " ".join(b)]))
+    assert quality.base_counts(own)[3].tolist() == [0, 0] and len(set(quality.line_keys(own)[3].tolist())) == 4
+    rows = [(1, a, "en", "s", 0), (2, b, "en", "s", 0), (3, " ".join(a), "en", "s", 0), (4, " ".join(b), "en", "s", 0)]
+    some = spark.createDataFrame(rows, DOCS).coalesce(1)
+    tool = bpe.encoder(bpe.default_path()).tokenizer
+    got = {}
+    for r in packing.pack(some, keep_ids=True).collect():
+        got.setdefault(r.doc_id, []).append((r.piece, r.ids))
+    assert all([i for _, ids in sorted(got[r[0]]) for i in ids] == tool.encode(r[1], add_special_tokens=False).ids + [0] for r in rows)
+    assert {r.doc_id: r.component_id for r in setjoin.link(some).collect()}[2] == 2
+    assert not any(r.removed for r in lines.mark(some.where("doc_id < 3")).collect())  # lines of one word link by equality alone
+    import sentencepiece
+
+    other = sentencepiece.SentencePieceProcessor(model_file=bpe.default_path("piece_bpe_32k.model"))
+    assert all(list(r.ids) == other.encode(rows[r.doc_id - 1][1]) for r in pieces.encode(some).collect())
+
+
+def test_caches_compare_bytes(monkeypatch):
+    """Even where all hashes are equal, ids are those of the words."""
+    tool = bpe.Encoder(bpe.default_path())
+    monkeypatch.setattr(K, "span_hash", lambda data, start, end: np.full(len(start), 7, np.uint64))
+    some = ["one two three", "three two one", "", "a"]
+    ids, first = tool.encode(K.Texts.of(pa.array(some)))
+    assert [list(ids[first[i] : first[i + 1]]) for i in range(4)] == [tool.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+    model = pieces.Merges(bpe.default_path("piece_bpe_32k.model"))
+    ids, first = model.encode(K.Texts.of(pa.array(some)))
+    monkeypatch.undo()
+    want, bounds = pieces.Merges(bpe.default_path("piece_bpe_32k.model")).encode(K.Texts.of(pa.array(some)))
+    assert ids.tolist() == want.tolist() and first.tolist() == bounds.tolist()
