@@ -13,22 +13,22 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, without their boilerplate lines."""
+    """Documents that the quality rules keep, without their boilerplate lines. Null and empty texts go (see quality.keep)."""
     return quality.keep(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the repeated lines; one with no line left goes."""
+    """Documents without the repeated lines; one with no line left goes. Rows with a null id or text stay (see lines.dedup)."""
     return lines.dedup(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that the Jaccard join links."""
+    """One document of each group that the Jaccard join links. Rows with a null id stay (see setjoin.keep_one)."""
     return setjoin.keep_one(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in sequences."""
+    """The pieces of all documents with their places in sequences. A null text is a separator alone (see packing.pack)."""
     return packing.pack(docs)
 
 
@@ -44,6 +44,7 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table. Rows that repeat id and text go through together; extra columns are carried to the last stage; an empty table gives an empty result."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = storage.written(stage(spark, docs, sf_dir), name)
