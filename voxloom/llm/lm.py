@@ -36,7 +36,7 @@ CLASSES = DIGIT * DIGIT
 RARE_DIGITS = 4  # the last first digits, those of the rare classes
 HEADS = CLASSES - RARE_DIGITS * DIGIT
 LEAST = 50  # occurrences of a head: fewer teach a class of its own too little
-KNOWN = 1 << 16  # most frequent words, whose counts every task holds
+KNOWN = 1 << 16  # of the most frequent words at most, whose counts every task holds
 WINDOW = 2
 HIDDEN = 16
 ROUNDS = 1
@@ -179,7 +179,7 @@ def examples(texts: K.Texts, names: Vocabulary) -> tuple[np.ndarray, np.ndarray,
 
 
 def count_words(docs: DataFrame, text_col: str = "text", known: int = KNOWN, heads: int = HEADS, least: int = LEAST) -> Vocabulary:
-    """Counts of all words of all documents; the driver sees the known most frequent (heads of which are classes) and the class totals."""
+    """Counts of all words of all documents; the driver sees the most frequent, known of them at most (heads of which are classes), and the class totals."""
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +208,14 @@ def count_words(docs: DataFrame, text_col: str = "text", known: int = KNOWN, hea
 
     words = rows.mapInArrow(count, "word long, suffix int, n long").groupBy("word").agg(F.min("suffix").alias("suffix"), F.sum("n").alias("n"))
     words = storage.written(words, "words")
-    top = words.orderBy(F.desc("n"), "word").limit(known).toPandas()
+    band = F.floor(F.log2("n") * 64).cast("int")  # at most some thousand bands of counts; whole bands are known, as many as fit
+    sizes = sorted(((r["band"], r["count"]) for r in words.groupBy(band.alias("band")).count().collect()), reverse=True)
+    total, least_band = 0, 1 << 30
+    for b, n in sizes:
+        if (total := total + n) > known:
+            break
+        least_band = b
+    top = words.where(band >= least_band).toPandas().sort_values(["n", "word"], ascending=[False, True])
     by = {r["suffix"]: r["n"] for r in words.groupBy("suffix").agg(F.sum("n").alias("n")).collect()}
     total = np.zeros(CLASSES)
     total[list(by)] = list(by.values())
