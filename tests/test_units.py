@@ -199,3 +199,15 @@ def test_stream_appends_once(spark, tmp_path):
         chunks.append_once(chunks.read_chunks(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
         spark.createDataFrame([row], schema.CHUNK_SEGMENTS).write.mode("append").parquet(str(tmp_path / "in"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_euclidean_over_a_long_axis(spark):
+    from voxloom.operators import proximity
+
+    v = spark.range(3000).select(F.lit(0).alias("x"), F.lit(1).alias("y"), F.col("id").cast("int").alias("z"), (F.col("id") % 2000 == 7).alias("seed"))
+    got = {r["z"]: r["d2"] for r in proximity.euclidean2(v, F.col("seed"), "d2").collect()}
+    assert got == {z: 1600 * min((z - 7) ** 2, (z - 2007) ** 2) for z in range(3000)}  # beyond 32 bits
+    boxes = spark.range(60).select(F.concat(F.lit("b"), F.col("id") % 3).alias("box"), *((F.floor(F.col("id") / 3) % 5).alias("x"), F.floor(F.col("id") / 15).alias("y"), F.lit(0).alias("z")), F.col("id").isin(0, 3, 37).alias("seed"))
+    rows = proximity.euclidean2(boxes, F.col("seed"), "d2", keys=("box",)).collect()
+    seeds = [r for r in rows if r["seed"]]
+    assert len(rows) == 60 and all(r["d2"] == min((16 * ((r["x"] - s["x"]) ** 2 + (r["y"] - s["y"]) ** 2) for s in seeds if s["box"] == r["box"]), default=None) for r in rows)

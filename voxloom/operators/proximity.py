@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,23 +31,77 @@ def manhattan(dense: DataFrame, column: str, axes: str = "xy") -> DataFrame:
     return out.select("x", "y", "z", F.col("best.id").alias("id"), F.col("best.dist").alias("dist"))
 
 
+def _nearest(line: np.ndarray, at: np.ndarray, value: np.ndarray, known: np.ndarray, scale) -> tuple[np.ndarray, np.ndarray]:
+    """For rows in order of line and at, the least value plus scale times squared way over the known rows of the line; and whether there is any.
+
+    The place of the least moves with at, never back, so the middle row of a run halves its work: all
+    lines take one halving at a time.
+    """
+    seed = np.flatnonzero(known)
+    to, base = at[seed], value[seed]
+    low, high = (np.searchsorted(line[seed], line, side) for side in ("left", "right"))
+    found, out = high > low, np.zeros(len(line), np.result_type(value, at, type(scale)))
+    begin = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]) & found) if len(line) else np.zeros(0, np.int64)
+    q0, q1 = begin, np.searchsorted(line, line[begin], "right") - 1
+    s0, s1 = low[begin], high[begin] - 1
+    while len(q0):
+        mid, n = (q0 + q1) // 2, s1 - s0 + 1
+        start = np.cumsum(n) - n
+        s = np.repeat(s0 - start, n) + np.arange(n.sum())
+        way = np.repeat(at[mid], n) - to[s]
+        cost = base[s] + way * way * scale
+        out[mid] = least = np.minimum.reduceat(cost, start)
+        best = np.minimum.reduceat(np.where(cost == np.repeat(least, n), s, len(seed)), start)
+        q0, q1, s0, s1 = (np.concatenate(x) for x in ((q0, mid + 1), (mid - 1, q1), (s0, best), (best, s1)))
+        left = q0 <= q1
+        q0, q1, s0, s1 = q0[left], q1[left], s0[left], s1[left]
+    return out, found
+
+
 def euclidean2(dense: DataFrame, target: Column, out: str, resolution=(4, 4, 40), keys: tuple[str, ...] = ()) -> DataFrame:
     """dense with out: the squared distance to the nearest voxel where target holds; null without any.
 
     dense: a row for every voxel of the box, or of each box named by keys. One axis after the other,
-    a line of voxels is an array and every voxel takes the least of value plus squared way over it;
-    lines are as long as a box.
+    a task takes whole lines of voxels, sorted, and every voxel the least of value plus squared way
+    over its line; the work is a line's length times its logarithm.
     """
-    rows = dense.withColumn(out, F.when(target, F.lit(0).cast("long")))
-    rest = [c for c in rows.columns if c != out]
+    rows = dense.select(*(c for c in dense.columns if c != out), F.when(target, F.lit(0).cast("long")).alias(out))
     for a, r in zip("xyz", resolution, strict=True):
         on = [*keys, *(k for k in "xyz" if k != a)]
-        items = F.filter(F.collect_list(F.struct(F.col(a).alias("at"), F.col(out).alias("v"))), lambda s: s["v"].isNotNull())
-        lines = rows.groupBy(*on).agg(items.alias("__line"), F.collect_list(F.struct(*rest)).alias("__rows"))
-        rows = lines.select("__line", F.explode("__rows").alias("__r")).select("__line", "__r.*")
-        step = lambda s: s["v"] + (s["at"] - F.col(a)) * (s["at"] - F.col(a)) * (r * r)  # noqa: B023, E731
-        rows = rows.withColumn(out, F.array_min(F.transform("__line", step)).cast("long")).drop("__line")
-    return rows.select(*rest, out)
+
+        def solve(table: pa.Table, a=a, r=r, on=on) -> pa.Table:
+            new = np.zeros(len(table), bool)
+            for c in on:
+                code = table.column(c).combine_chunks().dictionary_encode("encode").indices.to_numpy()
+                new[1:] |= code[1:] != code[:-1]
+            at, value = table.column(a), table.column(out)
+            valid = np.flatnonzero(at.is_valid().to_numpy())
+            here = at.fill_null(0).to_numpy()[valid]
+            here = here.astype(np.int64) if here.dtype.kind in "iu" else here.astype(float)
+            least, found = _nearest(np.cumsum(new)[valid], here, value.fill_null(0).to_numpy()[valid], value.is_valid().to_numpy()[valid], r * r)
+            full, none = np.zeros(len(table), np.int64), np.ones(len(table), bool)
+            full[valid], none[valid] = least.astype(np.int64), ~found
+            return table.set_column(table.column_names.index(out), out, pa.array(full, mask=none))
+
+        def lines(batches: Iterator[pa.RecordBatch], on=on, solve=solve) -> Iterator[pa.RecordBatch]:
+            held: list[pa.RecordBatch] = []  # the last line may go on in the next batch
+            for batch in batches:
+                if not len(batch):
+                    continue
+                last = [batch.column(c)[len(batch) - 1] for c in on]
+                cut = len(batch)
+                ends = held[0] if held else None
+                while cut and all(batch.column(c)[cut - 1].as_py() == v.as_py() for c, v in zip(on, last, strict=True)):
+                    cut -= 1
+                if cut or ends is not None and any(ends.column(c)[0].as_py() != v.as_py() for c, v in zip(on, last, strict=True)):
+                    yield from solve(pa.Table.from_batches([*held, batch.slice(0, cut)])).to_batches()
+                    held.clear()
+                held.append(batch.slice(cut))
+            if held:
+                yield from solve(pa.Table.from_batches(held)).to_batches()
+
+        rows = rows.repartition(*on).sortWithinPartitions(*on, a).mapInArrow(lines, rows.schema)
+    return rows
 
 
 def parag_transform(dist: Column, sigma: float = 50.0, alpha: float = 5.0) -> Column:
