@@ -211,3 +211,8 @@ def test_euclidean_over_a_long_axis(spark):
     rows = proximity.euclidean2(boxes, F.col("seed"), "d2", keys=("box",)).collect()
     seeds = [r for r in rows if r["seed"]]
     assert len(rows) == 60 and all(r["d2"] == min((16 * ((r["x"] - s["x"]) ** 2 + (r["y"] - s["y"]) ** 2) for s in seeds if s["box"] == r["box"]), default=None) for r in rows)
+
+
+def test_cremi_score_over_a_long_axis(spark):
+    v = spark.range(2000).select(F.lit(0).alias("x"), F.lit(0).alias("y"), F.col("id").cast("int").alias("z"), (F.col("id") == 1900).cast("int").alias("p"), (F.col("id") == 0).cast("int").alias("l"))
+    assert tuple(evaluate.cremi_score(v, "p", "l").first()) == (0, 1, 1, 76000.0, 76000.0, 1.0)
