@@ -216,3 +216,12 @@ def test_euclidean_over_a_long_axis(spark):
 def test_cremi_score_over_a_long_axis(spark):
     v = spark.range(2000).select(F.lit(0).alias("x"), F.lit(0).alias("y"), F.col("id").cast("int").alias("z"), (F.col("id") == 1900).cast("int").alias("p"), (F.col("id") == 0).cast("int").alias("l"))
     assert tuple(evaluate.cremi_score(v, "p", "l").first()) == (0, 1, 1, 76000.0, 76000.0, 1.0)
+
+
+def test_manhattan_sums_no_frame_anew(spark):
+    from voxloom.operators import proximity
+
+    at = [(x, 0, 0, 7 if x == 3 else 5 if x == 9 else 0) for x in range(12)] + [(9, 0, 0, 4)]  # a voxel that comes twice
+    rows = proximity.manhattan(spark.createDataFrame(at, "x int, y int, z int, id long"), "id", "xyz")
+    assert "unboundedfollowing" not in rows._jdf.queryExecution().analyzed().toString().lower()
+    assert {r["x"]: (r["id"], r["dist"]) for r in rows.collect()} == {x: (7, abs(x - 3)) if abs(x - 3) < abs(x - 9) else (4, abs(x - 9)) for x in range(12)} | {6: (4, 3)}

@@ -17,14 +17,15 @@ def manhattan(dense: DataFrame, column: str, axes: str = "xy") -> DataFrame:
     """x, y, z, id, dist: the nearest non-zero id of each voxel along these axes, in steps; the least id of equals, nulls without any.
 
     dense: a row for every voxel of the box. One axis after the other, the least of distance plus
-    steps so far is a running minimum each way, so a task holds one line of voxels.
+    steps so far is a running minimum each way, so a task holds one line of voxels. Both ways run from
+    the line's start in their order: a frame that ends with the line is summed anew for every row.
     """
     out = dense.select("x", "y", "z", F.when(F.col(column) != 0, F.struct(F.lit(0).cast("long").alias("dist"), F.col(column).alias("id"))).alias("best"))
     for a in axes:
-        line = Window.partitionBy(*(k for k in "xyz" if k != a)).orderBy(a)
+        line = Window.partitionBy(*(k for k in "xyz" if k != a))
         there = lambda sign: F.when(F.col("best").isNotNull(), F.struct((F.col("best.dist") + sign * F.col(a)).alias("dist"), F.col("best.id").alias("id")))  # noqa: B023, E731
-        back = F.min(there(-1)).over(line.rowsBetween(Window.unboundedPreceding, 0))
-        ahead = F.min(there(1)).over(line.rowsBetween(0, Window.unboundedFollowing))
+        back = F.min(there(-1)).over(line.orderBy(a).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        ahead = F.min(there(1)).over(line.orderBy(F.desc(a)).rangeBetween(Window.unboundedPreceding, Window.currentRow))
         here = lambda m, sign: F.struct((m["dist"] + sign * F.col(a)).alias("dist"), m["id"].alias("id"))  # noqa: B023, E731
         out = out.select("*", back.alias("b"), ahead.alias("f"))
         out = out.select("x", "y", "z", F.least(F.when(F.col("b").isNotNull(), here(F.col("b"), 1)), F.when(F.col("f").isNotNull(), here(F.col("f"), -1))).alias("best"))
