@@ -225,3 +225,12 @@ def test_manhattan_sums_no_frame_anew(spark):
     rows = proximity.manhattan(spark.createDataFrame(at, "x int, y int, z int, id long"), "id", "xyz")
     assert "unboundedfollowing" not in rows._jdf.queryExecution().analyzed().toString().lower()
     assert {r["x"]: (r["id"], r["dist"]) for r in rows.collect()} == {x: (7, abs(x - 3)) if abs(x - 3) < abs(x - 9) else (4, abs(x - 9)) for x in range(12)} | {6: (4, 3)}
+
+
+def test_covering_ends_at_a_voxel_outside_the_volume(spark):
+    v = spark.createDataFrame([(1, 1, z, 4) for z in range(30)], "x long, y long, z long, seg long")
+    rows = inference.covering_locations(v, "seg", (3, 3, 2), (20, 20, 30)).collect()
+    begins = [min(max(r["z"] - 1, 0), 28) for r in rows]
+    assert {z for b in begins for z in (b, b + 1)} == set(range(30)) and sorted(r["sample"] for r in rows) == list(range(1, len(rows) + 1))
+    with pytest.raises(Exception, match="outside the volume"):  # went on without end
+        inference.covering_locations(v, "seg", (3, 3, 2), (20, 20, 25)).collect()

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,22 +37,33 @@ def covering_locations(voxels: DataFrame, column: str, shape: tuple[int, int, in
     """Samples of each id whose patches cover all its voxels; an id's voxels, those of one cleft in a chunk, meet in one task.
 
     Of the voxels not covered yet the next sample is the first in an order that only the seed and the
-    coordinates decide.
+    coordinates decide. Patches lie in the volume, so a voxel outside it is an error.
     """
     size, whole = np.array(shape), np.array(volume)
     order = F.struct(F.xxhash64(F.lit(seed), "x", "y", "z"), "x", "y", "z")
-    ranked = voxels.where(F.col(column) != 0).withColumn("__order", F.row_number().over(Window.partitionBy(column).orderBy(order)))
-
-    def cover(rows: pd.DataFrame) -> pd.DataFrame:
-        points, out = rows.sort_values("__order")[["x", "y", "z"]].to_numpy(), []
-        while len(points):
-            begin = points[0] - size // 2
-            begin = begin + np.maximum(0, -begin) - np.maximum(0, begin + size - whole)
-            out.append((rows[column].iloc[0], len(out) + 1, *points[0]))
-            points = points[~((points >= begin) & (points < begin + size)).all(1)]
-        return pd.DataFrame(out, columns=[column, "sample", "x", "y", "z"])
-
-    return ranked.groupBy(column).applyInPandas(cover, f"{column} long, sample int, x long, y long, z long")
+    rows = voxels.where(F.col(column) != 0).groupBy(column).agg(F.sort_array(F.collect_list(order)).alias("__at"))
+    rows = rows.select(column, *(F.col(f"__at.{a}").cast("array<long>").alias(a) for a in "xyz"))
+
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, found = [], []
+            for row in batch.to_pylist():
+                points = np.array([row[a] for a in "xyz"]).T
+                if (points < 0).any() or (points >= whole).any():
+                    raise ValueError(f"{column} {row[column]} has a voxel outside the volume {volume}, which no patch can cover")
+                sample = 0
+                while len(points):
+                    begin = points[0] - size // 2
+                    begin = begin + np.maximum(0, -begin) - np.maximum(0, begin + size - whole)
+                    sample += 1
+                    ids.append(row[column])
+                    found.append((sample, *points[0].tolist()))
+                    points = points[~((points >= begin) & (points < begin + size)).all(1)]
+            parts = zip(*found, strict=True) if found else ((),) * 4
+            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, t) for c, t in zip(parts, types, strict=True))], [column, "sample", "x", "y", "z"])
+
+    return rows.mapInArrow(cover, f"{column} long, sample int, x long, y long, z long")
 
 
 def locations(voxels: DataFrame, column: str, kind: str, shape: tuple[int, int, int], volume: tuple[int, int, int], samples: int = 1, seed: int = 0) -> DataFrame:

@@ -191,8 +191,9 @@ def centre_locations(v):
 def covering_locations(v):
     """Every voxel of an id lies in the patch of one of its samples."""
     own = v.where("seg_id != 0").select(*(F.col(a).cast("long").alias(a) for a in "xyz"), "seg_id")
-    where = inference.locations(own, "seg_id", "coverage", (3, 3, 2), VOLUME)
-    found = inference.patches(where, own.withColumnRenamed("seg_id", "own"), (3, 3, 2), VOLUME, "seg_id").where("own = seg_id")
+    volume = (*VOLUME[:2], max(VOLUME[2], 1 + (own.agg(F.max("z")).first()[0] or 0)))  # sections go on with the table
+    where = inference.locations(own, "seg_id", "coverage", (3, 3, 2), volume)
+    found = inference.patches(where, own.withColumnRenamed("seg_id", "own"), (3, 3, 2), volume, "seg_id").where("own = seg_id")
     return found.select("seg_id", "x", "y", "z").distinct().groupBy("seg_id").agg(F.count("*").alias("voxels")).join(own.groupBy("seg_id").agg(F.count("*").alias("n")), "seg_id").select("seg_id", "voxels", (F.col("voxels") == F.col("n")).alias("covered"))
 
 
