@@ -234,3 +234,23 @@ def test_covering_ends_at_a_voxel_outside_the_volume(spark):
     assert {z for b in begins for z in (b, b + 1)} == set(range(30)) and sorted(r["sample"] for r in rows) == list(range(1, len(rows) + 1))
     with pytest.raises(Exception, match="outside the volume"):  # went on without end
         inference.covering_locations(v, "seg", (3, 3, 2), (20, 20, 25)).collect()
+
+
+def test_separation_of_all_pairs_meets_by_voxels_alone(spark):
+    import random
+
+    from voxloom import queries
+    from voxloom.operators import candidates
+
+    draw = random.Random(3)
+    pre, post = ([(draw.randrange(9), draw.randrange(30), draw.randrange(30), draw.randrange(4)) for _ in range(200)] for _ in range(2))
+    near = {}
+    for (a, *p), (b, *q) in ((p, q) for p in pre for q in post):
+        d2 = sum((u - v) ** 2 * r * r for u, v, r in zip(p, q, (4, 4, 40), strict=True))
+        if d2 < 400:
+            near[a, b] = min(near.get((a, b), (400,)), (d2, *p))
+    schema = "id long, x int, y int, z int"
+    got = {(r[0], r[1]): tuple(r)[2:] for r in candidates.by_separation(None, spark.createDataFrame(pre, schema), spark.createDataFrame(post, schema), 20).collect()}
+    assert got == {k: v[1:] for k, v in near.items()}
+    plan = queries.QUERIES["separation_filter"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.strip(" :+-").startswith("Join") for line in plan.splitlines()) == 1  # no join of ids by columns of the volume

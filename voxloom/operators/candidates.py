@@ -29,8 +29,12 @@ def two_sets_within(one: DataFrame, two: DataFrame, distance: float, resolution=
     return a.join(b, ["cx", "cy", "cz"]).where(near).select("id1", "id2")
 
 
-def by_separation(pairs: DataFrame, pre: DataFrame, post: DataFrame, separation: float, resolution=(4, 4, 40)) -> DataFrame:
-    """Pairs (id1, id2) whose voxels come nearer than separation, with the pre voxel nearest to post (least distance, then x, y, z)."""
+def by_separation(pairs: DataFrame | None, pre: DataFrame, post: DataFrame, separation: float, resolution=(4, 4, 40)) -> DataFrame:
+    """Pairs (id1, id2) whose voxels come nearer than separation, with the pre voxel nearest to post (least distance, then x, y, z).
+
+    pairs: those that count; None for all pairs. Voxels meet by cells of that width, so the work goes
+    with the voxels that are near and not with the number of pairs.
+    """
     a = pre.select(F.col("id").alias("id1"), *(F.col(c).alias(f"a{c}") for c in "xyz"))
     cells = lambda p: [F.floor(F.col(f"{p}{c}") * r / F.lit(separation)).cast("long").alias(f"c{c}") for c, r in zip("xyz", resolution, strict=True)]
     a = a.select("*", *cells("a"))
@@ -38,7 +42,8 @@ def by_separation(pairs: DataFrame, pre: DataFrame, post: DataFrame, separation:
     move = F.explode(F.array(*[F.struct(*(F.lit(v).alias(f"d{k}") for k, v in zip("xyz", m, strict=True))) for m in NEIGHBOURS]))
     b = b.select("*", *cells("b"), move.alias("m")).select("id2", "bx", "by", "bz", *((F.col(f"c{k}") + F.col(f"m.d{k}")).alias(f"c{k}") for k in "xyz"))
     d2 = scaled_distance2([F.col(f"a{k}") for k in "xyz"], [F.col(f"b{k}") for k in "xyz"], resolution)
-    near = pairs.join(a, "id1").join(b, ["id2", "cx", "cy", "cz"]).withColumn("d2", d2).where(F.col("d2") < separation * separation)
+    near = a.join(b, ["cx", "cy", "cz"]) if pairs is None else pairs.join(a, "id1").join(b, ["id2", "cx", "cy", "cz"])
+    near = near.withColumn("d2", d2).where(F.col("d2") < separation * separation)
     best = F.min(F.struct("d2", F.col("ax").alias("x"), F.col("ay").alias("y"), F.col("az").alias("z")))
     return near.groupBy("id1", "id2").agg(best.alias("b")).select("id1", "id2", F.col("b.x").alias("x"), F.col("b.y").alias("y"), F.col("b.z").alias("z"))
 

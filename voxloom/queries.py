@@ -477,8 +477,7 @@ n AS (SELECT id1, id2, a.x, a.y, a.z, pow((a.x-b.x)*4, 2) + pow((a.y-b.y)*4, 2)
 SELECT id1, id2, x, y, z FROM (SELECT *, row_number() OVER (PARTITION BY id1, id2 ORDER BY d, x, y, z) AS r FROM n WHERE d < 400) WHERE r = 1""")
 def separation_filter(v):
     pre, post = v.where("val > 120 and seg_id != 0").select(F.col("seg_id").alias("id"), "x", "y", "z"), v.where("val > 120 and gt_id != 0").select(F.col("gt_id").alias("id"), "x", "y", "z")
-    pairs = pre.select(F.col("id").alias("id1"), F.floor(F.col("x") / 8).alias("bx")).distinct().join(post.select(F.col("id").alias("id2"), F.explode(F.array(*[F.floor(F.col("x") / 8) + d for d in (-1, 0, 1)])).alias("bx")).distinct(), "bx").select("id1", "id2").distinct()
-    return candidates.by_separation(pairs, pre, post, 20)
+    return candidates.by_separation(None, pre, post, 20)
 
 
 @_query("voxels", """WITH p AS (SELECT x, y, z FROM voxels WHERE val > 120), l AS (SELECT x, y, z FROM voxels WHERE val > 100 AND base_id < 3),
