@@ -254,3 +254,37 @@ def test_separation_of_all_pairs_meets_by_voxels_alone(spark):
     assert got == {k: v[1:] for k, v in near.items()}
     plan = queries.QUERIES["separation_filter"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert sum(line.strip(" :+-").startswith("Join") for line in plan.splitlines()) == 1  # no join of ids by columns of the volume
+
+
+def _crowd(spark):
+    import random
+
+    draw = random.Random(5)
+    rows = [(i, draw.randrange(2), draw.randrange(0, 4000), draw.randrange(0, 300), draw.randrange(0, 300)) for i in range(900)] + [(2000 + i, 0, 1, 1, 1) for i in range(900)]
+    near = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and sum((u - v) ** 2 for u, v in zip(a[2:], b[2:], strict=True)) < 60 * 60}
+    return spark.createDataFrame(rows, "id long, g long, x long, y long, z long"), near
+
+
+def test_near_components_make_no_pairs(spark):
+    rows, near = _crowd(spark)
+    args = (rows, 60, ["g"], "id", ["x", "y", "z"], (1, 1, 1))  # several tiles, and 900 ids at one place
+    up = {}
+
+    def top(i):
+        while up.setdefault(i, i) != i:
+            i = up[i]
+        return i
+
+    for a, b in near:
+        a, b = top(a), top(b)
+        up[max(a, b)] = min(a, b)
+    assert {r["id"]: r["component"] for r in edges.near_components(*args).collect()} == {i: top(i) for i in list(up)}
+
+
+def test_split_pairs_are_the_near_pairs_of_two_labels(spark):
+    rows, near = _crowd(spark)
+    label = lambda i: i % 5 if i < 2000 else int(i == 2007)
+    named = rows.withColumn("label", F.when(F.col("id") < 2000, F.col("id") % 5).otherwise((F.col("id") == 2007).cast("long")))
+    got = edges.split_pairs(named, "label", 60, ["g"], "id", ["x", "y", "z"], (1, 1, 1)).collect()
+    want = {(a, b) for a, b in near if label(a) != label(b)}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
