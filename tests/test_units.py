@@ -288,3 +288,11 @@ def test_split_pairs_are_the_near_pairs_of_two_labels(spark):
     got = edges.split_pairs(named, "label", 60, ["g"], "id", ["x", "y", "z"], (1, 1, 1)).collect()
     want = {(a, b) for a, b in near if label(a) != label(b)}
     assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_duplicate_map_joins_no_positions(spark):
+    rows, _ = _crowd(spark)
+    full = rows.select(F.col("id").alias("cleft_segid"), F.col("g").alias("presyn_segid"), F.col("g").alias("postsyn_segid"), *(F.col(a).cast("double").alias(f"centroid_{a}") for a in "xyz"))
+    assert edges.duplicate_map(full, 60, resolution=(1, 1, 1)).where("src_id >= 2000").select("dst_id").distinct().count() == 1
+    found = edges.near_components(full, 60, ["presyn_segid"], resolution=(1, 1, 1))
+    assert "__a0" not in found._jdf.queryExecution().optimizedPlan().toString() and found.where("id >= 2000").count() == 900
