@@ -9,6 +9,7 @@ from .functions.hashing import FACTOR, PRIME, SHIFT, bucket, partner_bucket
 from .operators import anchors, candidates, edges, evaluate, idmaps, inference, overlap, proximity, segments, voxels
 from .queries import _COUNTS, _MULTI, _ONE, _query, overlap_consolidate
 from .schema import CENTROID, POST, PRE, SEGMENT
+from .storage import written
 
 RES = "({0} * 4) * ({0} * 4)", "({0} * 4) * ({0} * 4)", "({0} * 40) * ({0} * 40)"
 VOLUME = (20, 20, 25)
@@ -96,12 +97,10 @@ def upsample_edges(e):
 @_query("seg_info chunk_edges", "SELECT CAST(0 AS BIGINT) AS pairs")
 def surviving_duplicates(s, e):
     """Duplicate pairs that are left after merging: none at the same distance over merged ids of one row each."""
-    full = edges.to_segments(s.drop("dst_id", "chunk_tag"), edges.pick_largest(e).select(SEGMENT, PRE, POST, "size"))
-    found = edges.duplicate_map(full, 200)
-    pairs = edges.near_pairs(full, 200, [PRE, POST])
-    one = found.select(F.col("src_id").alias("id1"), F.col("dst_id").alias("a"))
-    two = found.select(F.col("src_id").alias("id2"), F.col("dst_id").alias("b"))
-    return pairs.join(one, "id1").join(two, "id2").where("a != b").agg(F.count("*").alias("pairs"))
+    full = written(edges.to_segments(s.drop("dst_id", "chunk_tag"), edges.pick_largest(e).select(SEGMENT, PRE, POST, "size")).select(SEGMENT, PRE, POST, *CENTROID), "full")
+    found = edges.duplicate_map(full, 200).select(F.col("src_id").alias(SEGMENT), "dst_id")
+    named = full.join(found, SEGMENT, "left").withColumn("merged", F.coalesce("dst_id", SEGMENT))
+    return edges.split_pairs(named, "merged", 200, [PRE, POST]).agg(F.count("*").alias("pairs"))
 
 
 # Inference with a plug-in network: pre = val / 255 on the cleft, post = 1 - val / 255
