@@ -588,3 +588,14 @@ def test_caches_compare_bytes(monkeypatch):
     monkeypatch.undo()
     want, bounds = pieces.Merges(bpe.default_path("piece_bpe_32k.model")).encode(K.Texts.of(pa.array(some)))
     assert ids.tolist() == want.tolist() and first.tolist() == bounds.tolist()
+
+
+def test_lm_opens_a_bucket_in_parts(spark):
+    """Buckets that are opened a few bytes at a time give the scores of whole ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").coalesce(2)
+    names = lm.count_words(docs, "text")
+    net = lm.train(docs, names, "text")
+    whole, some = ({r["doc_id"]: r["log_prob"] for r in lm.score(docs, names, net, crowd_of=20, opened=n).collect()} for n in (1 << 40, 2000))
+    assert whole.keys() == some.keys() and all(abs(v - some[k]) <= 1e-6 * max(1, abs(v)) for k, v in whole.items())
+    many = pa.table({"kind": [lm.BY_CONTEXT], "part": [0], "blob": [b"x" * 10_000]})
+    assert lm._parts(many, 1000) >= 10 and lm._parts(many, lm.OPENED) == 1

@@ -352,15 +352,30 @@ def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(part, pa.int32()), pa.array(blob, pa.binary())], ["kind", "part", "blob"])
 
 
-def _opened(table: pa.Table, kind: int) -> np.ndarray:
-    got = [_unpack(b.as_buffer(), WORD_BYTES[kind]) for k, b in zip(table.column("kind").to_pylist(), table.column("blob"), strict=True) if k == kind]
-    return np.concatenate([np.zeros(0, _OCCURRENCE), *got])
+#: Packed bytes of a bucket that a task unpacks at a time; numpy's arrays of them are several times that.
+OPENED = 16 << 20
 
 
-def score(docs: DataFrame, names: Vocabulary, net: Network, id_col: str = "doc_id", text_col: str = "text", crowd_of: int = CROWD) -> DataFrame:
+def _opened(table: pa.Table, kind: int, key: str = "context", part: int = 0, parts: int = 1) -> np.ndarray:
+    """Occurrences of a kind in a bucket; of parts by a hash of the key, one. Blobs are unpacked one at a time."""
+    got = [np.zeros(0, _OCCURRENCE)]
+    for k, blob in zip(table.column("kind").to_pylist(), table.column("blob"), strict=True):
+        if k == kind:
+            x = _unpack(blob.as_buffer(), WORD_BYTES[kind])
+            got.append(x if parts == 1 else x[(K.mix(x[key] & _LOW) & np.uint64(0xFFFFFFFF)) % np.uint64(parts) == part])
+    return np.concatenate(got)
+
+
+def _parts(table: pa.Table, most: int) -> int:
+    """Parts in which a bucket is opened, so that each has about most packed bytes."""
+    return max(1, -(-table.column("blob").nbytes // most))
+
+
+def score(docs: DataFrame, names: Vocabulary, net: Network, id_col: str = "doc_id", text_col: str = "text", crowd_of: int = CROWD, opened: int = OPENED) -> DataFrame:
     """doc_id, n_tokens, log_prob (natural logarithm, summed over all words), mean_log_prob (null without words).
 
-    The contexts and the counts of words beyond the vocabulary are those of docs.
+    The contexts and the counts of words beyond the vocabulary are those of docs. A bucket grows with
+    the bytes of a scan's task; a task unpacks about opened packed bytes of it at a time.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -418,19 +433,22 @@ def score(docs: DataFrame, names: Vocabulary, net: Network, id_col: str = "doc_i
 
     def count(table: pa.Table) -> pa.Table:
         """All occurrences of a bucket's words: their counts complete the priors."""
-        x = _opened(table, BY_WORD)
-        _, inverse, n = np.unique(x["word"], return_inverse=True, return_counts=True)
-        x["prior"] += np.log(n)[inverse].astype(np.float32)
-        x["word"] &= np.uint64((1 << 8 * WORD_BYTES[BY_CONTEXT]) - 1)
-        return pa.Table.from_batches([_batch(list(_dealt(x, BY_CONTEXT, "context", buckets)))])
+        out: list[tuple[int, int, bytes]] = []
+        parts = _parts(table, opened)
+        for part in range(parts):
+            x = _opened(table, BY_WORD, "word", part, parts)
+            _, inverse, n = np.unique(x["word"], return_inverse=True, return_counts=True)
+            x["prior"] += np.log(n)[inverse].astype(np.float32)
+            x["word"] &= np.uint64((1 << 8 * WORD_BYTES[BY_CONTEXT]) - 1)
+            out += _dealt(x, BY_CONTEXT, "context", buckets)
+        return pa.Table.from_batches([_batch(out)])
 
     # a word beyond the vocabulary has a small share of all words, so its contexts crowd no bucket
     blobs = told.select("kind", "part", "blob")
     counted = blobs.where(F.col("kind") == BY_WORD).groupBy("part").applyInArrow(count, "kind int, part int, blob binary")
 
-    def meet(table: pa.Table) -> pa.Table:
-        """All occurrences of a bucket's contexts, or their counts: sums by document, and totals for crowded contexts."""
-        x, crowd = _opened(table, BY_CONTEXT), _opened(table, COUNTS)
+    def weigh(x: np.ndarray, crowd: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sums by document (rec, total) of all occurrences of some contexts; totals (first rows, a, b) of crowded ones."""
         both = np.concatenate([x[["context", "word"]], crowd[["context", "word"]]])
         weight = np.concatenate([np.ones(len(x), np.int64), crowd["rec"]])
         order = np.lexsort((both["word"], both["context"]))
@@ -446,9 +464,18 @@ def score(docs: DataFrame, names: Vocabulary, net: Network, id_col: str = "doc_i
         rec, inverse = np.unique(x["rec"], return_inverse=True)
         total = np.bincount(inverse, _score(x["prior"], a[: len(x)], b[: len(x)]), minlength=len(rec))
         some = np.unique(crowd[["context", "word"]], return_index=True)[1]
+        return rec, total, crowd[some], a[len(x) :][some], b[len(x) :][some]
+
+    def meet(table: pa.Table) -> pa.Table:
+        """All occurrences of a bucket's contexts, or their counts: sums by document, and totals for crowded contexts."""
+        parts = _parts(table, opened)
+        found = [weigh(*(_opened(table, kind, "context", part, parts) for kind in (BY_CONTEXT, COUNTS))) for part in range(parts)]
+        rec, total, some, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+        rec, inverse = np.unique(rec, return_inverse=True)
+        total = np.bincount(inverse, total, minlength=len(rec))
         kinds = np.repeat([SUM, TOTAL], [len(rec), len(some)])
         none = np.zeros(len(rec), np.int64)
-        columns = [kinds, np.concatenate([rec, crowd["context"][some].view(np.int64)]), *(np.concatenate([none, y]) for y in (crowd["word"][some].view(np.int64), a[len(x) :][some], b[len(x) :][some])), np.concatenate([total, np.zeros(len(some))])]
+        columns = [kinds, np.concatenate([rec, some["context"].view(np.int64)]), *(np.concatenate([none, y]) for y in (some["word"].view(np.int64), a, b)), np.concatenate([total, np.zeros(len(some))])]
         return pa.table({name: pa.array(y).cast(t) for name, y, t in zip(("kind", "key", "word", "a", "b", "total"), columns, (pa.int32(), *[pa.int64()] * 4, pa.float64()), strict=True)})
 
     met = blobs.where(F.col("kind").isin(BY_CONTEXT, COUNTS)).unionByName(counted).groupBy("part").applyInArrow(meet, "kind int, key long, word long, a long, b long, total double")
