@@ -318,6 +318,43 @@ def test_op9_edit_distance():
         assert lines.within(a, b, most) == (edit(a, b) <= most)
 
 
+def test_op9_edit_distance_of_many_pairs():
+    """near() is within() at a tenth, and grams() rule no such pair out."""
+    r, x, y = random.Random(5), [], []
+    for i in range(400):
+        letters = r.choice(("ab", "abcdefgh ", "aé中 x", "a😀b "))
+        a = "".join(r.choice(letters) for _ in range(r.choice((r.randint(0, 30), r.randint(0, 300), 700 + i, 2600 if i % 40 == 0 else 90))))
+        b = list(a)
+        for _ in range(int(len(a) / 10 * r.choice((0.5, 0.9, 1, 1.05, 1.6))) + r.randint(0, 1)):
+            k = r.randrange(len(b) + 1)
+            b[k : k + r.randint(0, 1)] = r.choice(([], [r.choice(letters)], list("ab")))
+        x.append(a)
+        y.append("".join(b))
+    want = [lines.within(a, b, max(len(a), len(b)) // 10) for a, b in zip(x, y, strict=True)]
+    assert lines.near(x, y).tolist() == want and 50 < sum(want) < 350
+    for a, b, p, q, linked in zip(x, y, lines.grams(x), lines.grams(y), want, strict=True):
+        u, v = (np.frombuffer(s, np.uint64)[None] for s in (p, q))
+        w = min(u.shape[1], v.shape[1])
+        assert not linked or np.bitwise_count(linking._fold(u, w) ^ linking._fold(v, w)).sum() <= 6 * (max(len(a), len(b)) // 10)
+
+
+def test_op9_lines_that_share_a_passage_are_not_all_compared(spark, monkeypatch):
+    """Of the pairs of short lines with one passage only near ones reach the edit distance, and each once."""
+    r, looked, across = random.Random(9), [], linking.across
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 8)))
+    rows = [(i, " ".join([*(word() for _ in range(5)), "passage", "common", *(word() for _ in range(5))]), "en", "s", 0) for i in range(300)]
+    rows += [(300 + i, rows[i][1] + "s", "en", "s", 0) for i in range(0, 300, 10)]
+
+    def seen(*args):
+        out = across(*args)
+        looked.append(out.count())
+        return out
+
+    monkeypatch.setattr(linking, "across", seen)
+    gone = {x.doc_id for x in lines.mark(spark.createDataFrame(rows, DOCS)).collect() if x.removed}
+    assert gone == set(range(300, 600, 10)) and sum(looked) < 1000, looked
+
+
 def test_op8_shards_are_whole_and_even(spark, docs):
     rows = sharding.shard(docs).collect()
     assert len(rows) == docs.count()
