@@ -296,3 +296,15 @@ def test_duplicate_map_joins_no_positions(spark):
     assert edges.duplicate_map(full, 60, resolution=(1, 1, 1)).where("src_id >= 2000").select("dst_id").distinct().count() == 1
     found = edges.near_components(full, 60, ["presyn_segid"], resolution=(1, 1, 1))
     assert "__a0" not in found._jdf.queryExecution().optimizedPlan().toString() and found.where("id >= 2000").count() == 900
+
+
+def test_only_partners_travel_to_find_the_largest_edge(spark):
+    from voxloom import queries
+
+    rows = [(i % 3, (i * 7) % 4 or None, (i * 5) % 3, i % 2, i, -i, "c") for i in range(30)]  # equal sizes: partners decide
+    e = spark.createDataFrame(rows, "cleft_segid long, presyn_segid long, postsyn_segid long, size long, presyn_x long, presyn_y long, chunk_tag string")
+    s = spark.range(3).select(F.col("id").alias("cleft_segid"), F.lit(1).alias("size"), F.lit(0).alias("dst_id"), F.lit("c").alias("chunk_tag"))
+    full = queries._full(s, e)
+    want = edges.pick_largest(e).select("cleft_segid", "presyn_segid", "postsyn_segid").collect()
+    assert set(full.select("cleft_segid", "presyn_segid", "postsyn_segid").collect()) == set(want)
+    assert "b.presyn_x" not in full._jdf.queryExecution().toString() and "presyn_x AS presyn_x" not in full._jdf.queryExecution().analyzed().toString()

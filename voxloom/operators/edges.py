@@ -119,6 +119,7 @@ def near_components(rows: DataFrame, distance: float, group: list[str], key: str
     cluster there; ids with several of those join them.
     """
     near, named = _tiles(rows, distance, group, key, at or CENTROID, resolution)
+    near = near.drop("__o0", "__o1", "__o2")
     kind = rows.schema[key].dataType.simpleString()
 
     def settle(table: pa.Table) -> pa.Table:

@@ -239,7 +239,7 @@ _FULL = f"{_PICK}, f AS MATERIALIZED (SELECT cleft_segid, s.size, {', '.join([*C
 
 
 def _full(s, e):
-    return edges.to_segments(s.drop("dst_id", "chunk_tag"), edges.pick_largest(e).select(SEGMENT, PRE, POST, "size"))
+    return edges.to_segments(s.drop("dst_id", "chunk_tag"), edges.pick_largest(e.select(SEGMENT, PRE, POST, "size")))  # partners decide first of equal sizes
 
 
 @_query("seg_info chunk_edges", f"{_FULL} SELECT * FROM f")
