@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
-from voxloom.llm import bpe, licenses, lines, linking, lm, media, packing, pieces, quality, setjoin, sharding, urls
+from voxloom.llm import bpe, editing, licenses, lines, linking, lm, media, packing, pieces, quality, setjoin, sharding, urls
 from voxloom.llm import textkit as K
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -355,6 +355,45 @@ def test_op9_lines_that_share_a_passage_are_not_all_compared(spark, monkeypatch)
     assert gone == set(range(300, 600, 10)) and sum(looked) < 1000, looked
 
 
+def test_op9_long_lines_that_share_a_passage_give_links_alone(spark, monkeypatch):
+    """Lines alike in two thirds of their letters pass the bitmaps and SimHash bits; what leaves a group are the links that join it, not its pairs."""
+    r, looked, across = random.Random(10), [], linking.across
+    word = lambda: "".join(r.choice("etaoinshr") for _ in range(r.randint(2, 8)))
+    passage = " ".join(["passagepassage", "commoncommon", *(word() for _ in range(58))])
+    texts = [" ".join([*(word() for _ in range(16)), passage]) for _ in range(160)]
+    near = {160 + i: f"{texts[i][2:]} {word()}" for i in range(0, 160, 8)}
+    rows = [(i, t, "en", "s", 0) for i, t in [*enumerate(texts), *near.items()]]
+
+    def seen(*args):
+        out = across(*args)
+        looked.append(out.count())
+        return out
+
+    monkeypatch.setattr(linking, "across", seen)
+    gone = {x.doc_id for x in lines.mark(spark.createDataFrame(rows, DOCS)).collect() if x.removed}
+    assert gone == set(near) and sum(looked) < len(rows), looked
+
+
+def test_op9_edit_distances_in_batches():
+    """Long and short texts, passages, texts beyond Latin-1: as one by one."""
+    r, x, y = random.Random(6), [], []
+    for i in range(1500):
+        letters = r.choice(("ab", "thesoniaé ", "aé中 丮x"))
+        text = lambda k: "".join(r.choice(letters) for _ in range(k))
+        a, passage = text(r.choice((0, 1, 40, 64, 65, 128, r.randint(1, 260)))), text(r.choice((0, 300)))
+        b = list(a)
+        for _ in range(r.randint(0, 2 + (len(a) + len(passage)) // 8)):
+            k = r.randrange(len(b) + 1)
+            b[k : k + r.randint(0, 1)] = r.choice(([], [r.choice(letters)], list("ab")))
+        x.append(a + passage)
+        y.append((text(len(a)) if i % 5 == 0 else "".join(b)) + passage)
+    most = np.array([max(len(a), len(b)) // 10 for a, b in zip(x, y, strict=True)])
+    want = [lines.within(a, b, int(k)) for a, b, k in zip(x, y, most, strict=True)]
+    alone = []
+    got = editing.at_most(x, y, most, lambda k: alone.append(k) or lines.within(x[k], y[k], int(most[k])))
+    assert got.tolist() == want and 300 < sum(want) < 1200 and len(alone) < 900
+
+
 def test_op8_shards_are_whole_and_even(spark, docs):
     rows = sharding.shard(docs).collect()
     assert len(rows) == docs.count()
