@@ -3,12 +3,15 @@
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxloom import storage
 from voxloom.llm import bpe, editing, licenses, lines, linking, lm, media, packing, pieces, quality, setjoin, sharding, urls
 from voxloom.llm import textkit as K
 
@@ -394,6 +397,40 @@ def test_op9_edit_distances_in_batches():
     assert got.tolist() == want and 300 < sum(want) < 1200 and len(alone) < 900
 
 
+def test_op9_groups_are_compared_together(spark, tmp_path):
+    """The contents of many small groups go to one call, and bounds of edits hold as one by one."""
+    rows = [(g * 100 + k, 12, lines.grams([f"text {g} {k} of"])[0], f"text {g} {k} of") for g in range(40) for k in range(8)]
+    classes = spark.createDataFrame(rows, "rid long, n long, sketch binary, content string")
+    members = classes.selectExpr("rid div 100 as sig", "rid", "8L as n", "0 as spare")
+    calls = str(tmp_path / "calls")
+
+    def settle(x, y):
+        with open(calls, "a") as f:
+            f.write(f"{len(x)}\n")
+        return np.array([p[-4] == "7" and q[-4] == "0" for p, q in zip(x, y, strict=True)], bool)
+
+    found = linking.across(members, spark.createDataFrame([], "id long, component long"), classes, lambda x, y: x + y, False, settle=settle).collect()
+    assert {(r.a, r.b) for r in found} <= {(g * 100, g * 100 + 7) for g in range(40)} and len(found) == 40
+    with open(calls) as f:
+        assert len(f.readlines()) < 40
+
+
+def test_lines_are_split_once_for_all_that_go(spark):
+    text = "\n".join(f"line {i}" for i in range(3000))
+    out = spark.createDataFrame([(text, [0, 5]), ("a\n\nb", [1]), ("a", []), (None, [0])], "t string, p array<int>").select(quality.without_lines(F.col("t"), F.col("p")).alias("t"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert [r.t for r in out.collect()] == ["\n".join(f"line {i}" for i in range(3000) if i not in (0, 5)), "a\nb", "a", None]
+
+
+def test_op9_signatures_are_dropped_when_lines_have_met(spark):
+    folder = Path(storage.shared_dir(spark).removeprefix("file://"))
+    before = set(folder.glob("occurrences-*"))
+    rows = [(i, f"one two three four five six seven eight nine ten number{i % 3} and{i}\nshort", "en", "s", 0) for i in range(30)]
+    assert sum(len(r.removed) for r in lines.mark(spark.createDataFrame(rows, DOCS)).collect()) > 30
+    (new,) = set(folder.glob("occurrences-*")) - before
+    assert [x.name for x in new.glob("kind=*")] == ["kind=line"]
+
+
 def test_op8_shards_are_whole_and_even(spark, docs):
     rows = sharding.shard(docs).collect()
     assert len(rows) == docs.count()
